@@ -55,7 +55,7 @@ BI_CHECKS = {
 }
 
 
-def _absent(rows: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
+def absent(rows: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
     """Rows whose ``key`` is no member, NULL keys included.
 
     Rows are counted per key first, so the anti join sees distinct keys only and a hot
@@ -99,7 +99,7 @@ def mart_checks(fact: DataFrame, dim: DataFrame) -> DataFrame:
             ).alias("duration"),
         ),
         "fact_orders": _distinct(fact, "order_id"),
-        "orphans": _absent(fact, "seller_id", dim, "seller_id"),
+        "orphans": absent(fact, "seller_id", dim, "seller_id"),
         "dim": dim.agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if(rate_range).alias("rate"),
@@ -176,7 +176,7 @@ def bi_checks(
             F.count_if(c("delivered_orders") < LEADERBOARD_FLOOR).alias("small"),
         ),
         "states": views["ref_br_state"].agg(F.count_distinct("code").alias("codes")),
-        "uncovered": _absent(orders, "order_date", calendar, "date"),
+        "uncovered": absent(orders, "order_date", calendar, "date"),
         "calendar": calendar.agg(
             rows,
             F.count_distinct("date").alias("days"),
