@@ -1,0 +1,239 @@
+"""Every check fires on the defect it names, with the right count, and on nothing else."""
+
+from __future__ import annotations
+
+import datetime
+from decimal import Decimal
+
+import pytest
+from frames import bad_rows, fact
+from pyspark.sql import functions as F
+
+from punctual.operators import checks
+from punctual.plans import bi, gates, marts
+from punctual.sources.states import ref_br_state
+
+DAY = datetime.date
+
+
+def mart_report(spark, rows, dim=None):
+    table = fact(spark, *rows)
+    return gates.mart_checks(table, marts.dim_seller(table) if dim is None else dim(table))
+
+
+def test_clean_marts_pass(spark):
+    report = mart_report(spark, [{}, {"seller_id": "s2", "is_late": True, "late_days": 3}])
+    rows = report.collect()
+    assert len(rows) == 12
+    assert {row.status for row in rows} == {"PASS"}
+    assert [row.check_name for row in rows] == sorted(gates.MART_CHECKS)
+    assert checks.enforce(report, "clean") == rows
+
+
+ONE_BAD_ROW = {
+    "order_month_mismatch": {"order_month": 201802},
+    "negative_money": {"freight_value": Decimal("-0.01")},
+    "delivered_before_purchase": {"delivered_date": DAY(2018, 1, 4)},
+    "null_late_flag": {"late_days": None},
+    "implausible_delivery_days": {"delivery_days": 366},
+    "fct_null_key": {"order_id": None},
+}
+
+
+@pytest.mark.parametrize("name", sorted(ONE_BAD_ROW))
+def test_mart_check_counts_bad_rows(spark, name):
+    found = bad_rows(mart_report(spark, [{}, ONE_BAD_ROW[name], ONE_BAD_ROW[name], {}]))
+    # a NULL order id also is no distinct order id
+    extra = {"fct_duplicate_order_id": 2} if name == "fct_null_key" else {}
+    assert found == {name: 2, **extra}
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"order_value": Decimal("-1")},
+        {"delivery_days": -1},
+        {"is_late": None},
+        {"order_month": None},
+    ],
+)
+def test_either_arm_of_a_rule_fires(spark, change):
+    assert list(bad_rows(mart_report(spark, [{}, change])).values()) == [1]
+
+
+def test_unknown_money_is_not_counted(spark):
+    assert bad_rows(mart_report(spark, [{"order_value": None, "freight_value": None}])) == {}
+
+
+def test_duplicate_orders(spark):
+    rows = [{"order_id": "a"}, {"order_id": "a"}, {"order_id": "a"}, {"order_id": "b"}]
+    assert bad_rows(mart_report(spark, rows)) == {"fct_duplicate_order_id": 2}
+
+
+def test_null_date_and_seller_are_null_keys(spark):
+    found = bad_rows(mart_report(spark, [{}, {"order_date": None}, {"seller_id": None}]))
+    # a NULL seller matches no member and is no distinct key, although the dimension
+    # has a row for it
+    assert found == {"fct_null_key": 2, "fct_orphan_seller": 1, "dim_duplicate_seller": 1}
+
+
+def test_empty_fact_fails(spark):
+    found = bad_rows(mart_report(spark, []))
+    assert found == {"fct_is_empty": 1, "dim_order_count_mismatch": 1}
+
+
+def test_orphan_seller_and_lost_count(spark):
+    found = bad_rows(
+        mart_report(
+            spark,
+            [{}, {"seller_id": "s2"}, {"seller_id": "s2"}],
+            dim=lambda t: marts.dim_seller(t).where("seller_id <> 's2'"),
+        )
+    )
+    assert found == {"fct_orphan_seller": 2, "dim_order_count_mismatch": 1}
+
+
+def test_duplicate_dimension_row(spark):
+    found = bad_rows(
+        mart_report(
+            spark, [{}], dim=lambda t: marts.dim_seller(t).union(marts.dim_seller(t))
+        )
+    )
+    assert found == {"dim_duplicate_seller": 1, "dim_order_count_mismatch": 1}
+
+
+@pytest.mark.parametrize("rate", [-0.1, 1.1])
+def test_rate_out_of_range(spark, rate):
+    found = bad_rows(
+        mart_report(
+            spark,
+            [{}, {"seller_id": "s2"}],
+            dim=lambda t: marts.dim_seller(t).withColumn(
+                "on_time_rate",
+                F.when(F.col("seller_id") == "s2", F.lit(rate)).otherwise(F.col("on_time_rate")),
+            ),
+        )
+    )
+    assert found == {"on_time_rate_out_of_range": 1}
+
+
+# -- the BI gate -----------------------------------------------------------------------
+
+MANY = [{"is_late": i % 4 == 0, "late_days": 1} for i in range(20)]
+
+
+def bi_report(spark, rows=MANY, opt=None, change=None, expected=27):
+    table = fact(spark, *rows)
+    copy = table if opt is None else opt(table)
+    states = ref_br_state(spark)
+    dim = marts.dim_seller(table)
+    layer = {
+        "ref_br_state": states,
+        "vw_bi_orders": bi.bi_orders(copy, states),
+        "vw_bi_monthly": bi.bi_monthly(copy),
+        "vw_bi_by_state": bi.bi_by_state(copy),
+        "vw_bi_seller_leaderboard": bi.bi_seller_leaderboard(dim),
+        "vw_bi_calendar": bi.bi_calendar(copy),
+    }
+    for name, edit in (change or {}).items():
+        layer[name] = edit(layer[name])
+    return gates.bi_checks(table, copy, layer, expected)
+
+
+def test_clean_bi_layer_passes(spark):
+    rows = bi_report(spark).collect()
+    assert len(rows) == 16
+    assert {row.status for row in rows} == {"PASS"}
+
+
+def test_empty_bi_layer_fails(spark):
+    found = bad_rows(bi_report(spark, rows=[]))
+    assert found == {
+        "bi_monthly_order_mismatch": 1,
+        "bi_state_order_mismatch": 1,
+        "calendar_has_gaps": 1,
+    }
+
+
+def test_copy_that_lost_a_row(spark):
+    found = bad_rows(bi_report(spark, opt=lambda t: t.where("order_id <> 'o1'")))
+    assert found == {"opt_row_count_mismatch": 1, "opt_on_time_rate_drift": 1}
+
+
+def test_copy_with_one_flag_flipped(spark):
+    flipped = F.when(F.col("order_id") == "o1", True).otherwise(F.col("is_late"))
+    found = bad_rows(bi_report(spark, opt=lambda t: t.withColumn("is_late", flipped)))
+    assert found == {"opt_on_time_rate_drift": 1}
+
+
+def put(column, value):
+    return lambda df: df.withColumn(column, F.lit(value).cast(df.schema[column].dataType))
+
+
+BI_DEFECTS = [
+    ("bi_orders_row_mismatch", 1, {"vw_bi_orders": lambda df: df.where("order_id <> 'o1'")}),
+    ("bi_monthly_order_mismatch", 1, {"vw_bi_monthly": put("orders", 19)}),
+    ("bi_state_order_mismatch", 1, {"vw_bi_by_state": put("orders", 21)}),
+    ("bi_month_start_mismatch", 1, {"vw_bi_monthly": put("month_start", DAY(2018, 2, 1))}),
+    ("bi_month_start_mismatch", 1, {"vw_bi_monthly": put("month_start", None)}),
+    ("bi_region_code_malformed", 1, {"vw_bi_by_state": put("customer_region_code", "BR-sp")}),
+    ("bi_region_code_malformed", 1, {"vw_bi_by_state": put("customer_region_code", "BR-SP\n")}),
+    (
+        "on_time_pct_scale_drift",
+        2,
+        {
+            "vw_bi_monthly": put("on_time_pct", 75.02),
+            "vw_bi_by_state": put("on_time_pct", 74.98),
+        },
+    ),
+    ("leaderboard_on_time_pct_drift", 1, {"vw_bi_seller_leaderboard": put("on_time_pct", 75.02)}),
+    ("orders_on_time_pct_mismatch", 15, {"vw_bi_orders": put("on_time_pct", 0)}),
+    ("state_name_missing", 20, {"vw_bi_orders": put("customer_region", None)}),
+    ("state_name_missing", 20, {"vw_bi_orders": put("customer_state_name", None)}),
+    ("ref_state_count", 1, {"ref_br_state": lambda df: df.where("code <> 'AC'")}),
+    (
+        "calendar_misses_order_dates",
+        20,
+        {"vw_bi_calendar": lambda df: df.where("date > '2018-01-05'")},
+    ),
+    ("calendar_has_gaps", 1, {"vw_bi_calendar": lambda df: df.where("date <> '2018-01-20'")}),
+    ("calendar_has_gaps", 1, {"vw_bi_calendar": lambda df: df.union(df.limit(1))}),
+    ("leaderboard_below_floor", 1, {"vw_bi_seller_leaderboard": put("delivered_orders", 19)}),
+]
+
+
+@pytest.mark.parametrize(("name", "count", "change"), BI_DEFECTS)
+def test_bi_check_fires(spark, name, count, change):
+    assert bad_rows(bi_report(spark, change=change)) == {name: count}
+
+
+def test_bi_rate_out_of_range_in_both_views(spark):
+    def out(df):
+        return df.withColumns({"on_time_rate": F.lit(1.1), "on_time_pct": F.lit(110.0)})
+
+    found = bad_rows(bi_report(spark, change={"vw_bi_monthly": out, "vw_bi_by_state": out}))
+    assert found == {"bi_on_time_rate_out_of_range": 2}
+
+
+def test_order_without_calendar_date_counts(spark):
+    found = bad_rows(bi_report(spark, change={"vw_bi_orders": put("order_date", None)}))
+    assert found == {"calendar_misses_order_dates": 20}
+
+
+# -- the gate itself -------------------------------------------------------------------
+
+
+def test_gate_prints_then_raises(spark, capsys):
+    report = mart_report(spark, [{}, {"delivery_days": 400}, {"delivery_days": 500}])
+    with pytest.raises(checks.GateFailed, match="marts: implausible_delivery_days=2") as raised:
+        checks.enforce(report, "marts")
+    assert [row.check_name for row in raised.value.failures] == ["implausible_delivery_days"]
+    printed = capsys.readouterr().out.splitlines()
+    assert len(printed) == 12
+    assert printed[0].startswith("FAIL  implausible_delivery_days")  # worst first
+
+
+def test_gate_total(spark):
+    report = mart_report(spark, [{}, {"delivery_days": 400}, {"order_value": Decimal(-1)}])
+    assert checks.gate_total(report).first().bad_rows == 2
+    assert checks.gate_total(report.where("false")).first().bad_rows == 0

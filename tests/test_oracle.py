@@ -46,8 +46,8 @@ def test_every_query_has_sql():
 def test_matches_sql(spark, duck, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     rows = [tuple(row) for row in df.collect()]
-    assert rows
     if name in NO_SQL:
+        assert rows
         return
     expected = duck.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(expected.columns)
