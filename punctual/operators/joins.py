@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,35 +12,52 @@ AQE_FACTOR = 5  # a key is hot where it outweighs this many average shuffle part
 HOT_ROWS = 1_000_000
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """The at most 100 values of ``key`` that would each overload a shuffle partition.
+def heavy_keys(key: str, *frames: DataFrame, min_rows: int = HOT_ROWS) -> list:
+    """The values of ``key`` that would each overload a shuffle partition of a frame.
 
-    One pass over the key column with a bounded sketch: nothing is shuffled but the
-    sketches. The answer steers the plan only, so an estimate is enough.
+    At most 100 per frame. One pass over the key columns with a bounded sketch: only
+    sketches are shuffled, only one row per frame is collected. The answer steers the
+    plan and never the result, so an estimate is enough.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = reduce(
+        DataFrame.unionByName,
+        (df.select(F.col(key), F.lit(i).alias("frame")) for i, df in enumerate(frames)),
+    )
     found = (
-        df.where(F.col(key).isNotNull())
+        keys.where(F.col(key).isNotNull())
+        .groupBy("frame")
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.expr(f"approx_top_k({key}, {TRACKED_KEYS})").alias("top"),
         )
-        .first()
+        .collect()
+    )
+    return sorted(
+        {
+            entry["item"]
+            for frame in found
+            for entry in frame["top"]
+            if entry["count"] > max(min_rows, AQE_FACTOR * frame["rows"] / partitions)
+        }
     )
-    limit = max(min_rows, AQE_FACTOR * found["rows"] / partitions)
-    return [entry["item"] for entry in found["top"] or [] if entry["count"] > limit]
 
 
-def join_rollup(rows: DataFrame, rollup: DataFrame, key: str, hot: list) -> DataFrame:
-    """Inner join of ``rows`` with ``rollup``, which was grouped by ``key``.
+def join_rollup(
+    rows: DataFrame, cold: DataFrame, spread: DataFrame, key: str, hot: list
+) -> DataFrame:
+    """Inner join of ``rows`` with a rollup that has one row per ``key``.
 
-    A grouped side sits on its own shuffle, and there adaptive execution cannot split
-    a skewed partition. So rows of the ``hot`` keys are joined by broadcast instead.
-    That side holds one row per hot key, hence at most 100 rows: the broadcast is
-    bounded by construction. Every row takes exactly one of the two ways.
+    ``cold`` and ``spread`` are the same rollup, computed two ways: the first brings
+    all rows of a key to one task, the second combines them before any shuffle. Hot
+    keys go the second way and are joined by broadcast: one row per hot key, so that
+    side is bounded by the number of hot keys. Every row takes exactly one way.
     """
     if not hot:
-        return rows.join(rollup, key)
+        return rows.join(cold, key)
     is_hot = F.col(key).isin(hot)
-    cold = rows.where(~is_hot).join(rollup.where(~is_hot), key)
-    return cold.unionByName(rows.where(is_hot).join(F.broadcast(rollup.where(is_hot)), key))
+    return (
+        rows.where(~is_hot)
+        .join(cold.where(~is_hot), key)
+        .unionByName(rows.where(is_hot).join(F.broadcast(spread.where(is_hot)), key))
+    )

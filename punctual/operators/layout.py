@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from punctual.contracts import CLUSTER_KEYS, FACT, FACT_OPT, PARTITION_KEY
 from punctual.sources.warehouse import Warehouse
 
-FILE_BYTES = 256 * 1024 * 1024
+FILE_BYTES = 128 * 1024 * 1024
 
 
 def write_partitioned(
@@ -23,14 +23,11 @@ def write_partitioned(
     the range key divisible: a seller or month with a third of all rows still spreads
     over many tasks. At most one file per task and month boundary is written.
     """
-    spark, df = warehouse.spark, warehouse.read(source)
-    tasks = max(
-        spark.sparkContext.defaultParallelism,
-        math.ceil(warehouse.size_bytes(source) / file_bytes),
-    )
+    tasks = max(1, math.ceil(warehouse.size_bytes(source) / file_bytes))
     warehouse.drop(target)
     (
-        df.repartitionByRange(tasks, PARTITION_KEY, *CLUSTER_KEYS, "order_id")
+        warehouse.read(source)
+        .repartitionByRange(tasks, PARTITION_KEY, *CLUSTER_KEYS, "order_id")
         .sortWithinPartitions(PARTITION_KEY, *CLUSTER_KEYS)
         .write.partitionBy(PARTITION_KEY)
         .parquet(warehouse.path(target))

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.contracts import FACT, FACT_OPT, PARTITION_KEY
@@ -97,30 +96,6 @@ def planned(warehouse: Warehouse, p: Params) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def _scans(node) -> Iterator:
-    """The file scans of an executed plan, below adaptive and query-stage wrappers."""
-    name = node.nodeName()
-    if name == "AdaptiveSparkPlan":
-        yield from _scans(node.executedPlan())
-    elif name.endswith("QueryStage"):
-        yield from _scans(node.plan())
-    elif name.startswith("Scan "):
-        yield node
-    else:
-        children = node.children()
-        for i in range(children.size()):
-            yield from _scans(children.apply(i))
-
-
-def opened(df: DataFrame) -> tuple[int, int]:
-    """Files and bytes the scans of an executed DataFrame opened."""
-    totals = [0, 0]
-    for scan in _scans(df._jdf.queryExecution().executedPlan()):
-        for i, metric in enumerate(("numFiles", "filesSize")):
-            totals[i] += scan.metrics().apply(metric).value()
-    return totals[0], totals[1]
-
-
 def run(warehouse: Warehouse, p: Params, run_id: str) -> DataFrame:
     """Run every query on both layouts, tagged in the job history, and log what it read.
 
@@ -130,16 +105,13 @@ def run(warehouse: Warehouse, p: Params, run_id: str) -> DataFrame:
     for query, build in QUERIES.items():
         for layout, name in LAYOUTS.items():
             context.setJobDescription(f"-- {run_id} {query} {layout}")
-            df = build(warehouse.read(name), p)
             begin = time.perf_counter()
-            df.collect()
-            log.append((query, layout, time.perf_counter() - begin, *opened(df)))
+            build(warehouse.read(name), p).collect()
+            log.append((query, layout, time.perf_counter() - begin))
     context.setJobDescription(f"-- {run_id} end")
     warehouse.spark.range(1).count()
     context.setJobDescription(None)
-    return warehouse.spark.createDataFrame(
-        log, "query string, layout string, seconds double, opened_files bigint, opened_bytes bigint"
-    )
+    return warehouse.spark.createDataFrame(log, "query string, layout string, seconds double")
 
 
 def tagged(jobs: DataFrame, run_id: str, hours: int = 2) -> DataFrame:
@@ -183,25 +155,30 @@ def measure(warehouse: Warehouse, p: Params, run_id: str) -> DataFrame:
     """Planned and real bytes per query and layout.
 
     Real bytes are those the tasks read, from the event log. Where the session logs no
-    events they are the sizes of the files the scans opened.
+    events only the plan's upper bound is known, and stands for both.
     """
     runs = run(warehouse, p, run_id)
     jobs = _logged(warehouse.spark, run_id)
     if jobs is None:
-        real = runs.withColumns(
-            {"read_bytes": F.lit(None).cast("bigint"), "task_ms": F.lit(None).cast("bigint")}
-        )
+        unknown = F.lit(None).cast("bigint")
+        real = runs.withColumns({"read_bytes": unknown, "task_ms": unknown})
     else:
         real = runs.join(tagged(jobs, run_id), ["query", "layout"], "left")
     return (
         planned(warehouse, p)
         .join(real, ["query", "layout"], "left")
-        .withColumn("real_bytes", F.coalesce("read_bytes", "opened_bytes"))
+        .withColumn("real_bytes", F.coalesce("read_bytes", "planned_bytes"))
     )
 
 
+def _saved(measure: str) -> Column:
+    """How many percent less the copy takes than the plain table."""
+    base, opt = F.col(f"base_{measure}"), F.col(f"opt_{measure}")
+    return F.round(F.try_divide((base - opt) * 100, base), 1)
+
+
 def comparison(measured: DataFrame) -> DataFrame:
-    """One row per query: both layouts side by side and the saving in percent."""
+    """One row per query: both layouts side by side and the savings in percent."""
     sides = (
         measured.groupBy("query")
         .pivot("layout", list(LAYOUTS))
@@ -211,5 +188,9 @@ def comparison(measured: DataFrame) -> DataFrame:
             F.first("real_bytes").alias("real_bytes"),
         )
     )
-    saved = F.try_divide((F.col("base_real_bytes") - F.col("opt_real_bytes")) * 100, "base_real_bytes")
-    return sides.withColumn("reduction_pct", F.round(saved, 1)).orderBy("query")
+    return sides.withColumns(
+        {
+            "planned_reduction_pct": _saved("planned_bytes"),
+            "reduction_pct": _saved("real_bytes"),
+        }
+    ).orderBy("query")

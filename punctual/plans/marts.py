@@ -15,7 +15,7 @@ from punctual.functions.scalar import (
     share_not,
 )
 from punctual.operators.joins import HOT_ROWS, heavy_keys, join_rollup
-from punctual.operators.rollup import order_rollup
+from punctual.operators.rollup import order_rollup, order_rollup_by_order
 from punctual.sources.warehouse import Warehouse
 
 
@@ -69,18 +69,19 @@ def fct_delivery_performance(
     """One row per delivered order, attributed to its primary seller.
 
     Customers join first, while order rows are narrow. The item rollup is already
-    partitioned by order, so that join shuffles the order side only. No join is forced
+    partitioned by order, so that join shuffles the order side only. No table is forced
     to broadcast: customers and sellers grow with the data, and the optimizer knows
     their size; a hot customer or seller is split by adaptive execution.
     """
     delivered = delivered_orders(staged_orders)
-    hot = heavy_keys(delivered, "order_id", hot_rows)
+    hot = heavy_keys("order_id", delivered, staged_items, min_rows=hot_rows)
     orders = delivered.join(
         customers.select("customer_id", "customer_state"), "customer_id"
     ).drop("customer_id")
+    by_order, spread = order_rollup_by_order(staged_items), order_rollup(staged_items)
     late_days = days_between(F.col("delivered_date"), F.col("estimated_date"))
     return (
-        join_rollup(orders, order_rollup(staged_items), "order_id", hot)
+        join_rollup(orders, by_order, spread, "order_id", hot)
         .join(sellers.select("seller_id", "seller_state"), "seller_id")
         .withColumns(
             {

@@ -22,8 +22,8 @@ from punctual.operators.layout import write_partitioned
 from punctual.operators.rollup import items_per_order, order_totals, primary_seller
 from punctual.plans import bi, gates, layout_bench, marts, reports
 from punctual.plans.rebuild import extract, rebuild
-from punctual.session import scratch_dir
-from punctual.sources import csv_load, fixture, history
+from punctual.session import scratch_dir, size_shuffles
+from punctual.sources import csv_load, files, fixture, history
 from punctual.sources.warehouse import Warehouse, contents, row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -371,7 +371,13 @@ REGISTRY: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    def comparable_query(query: Query) -> Query:
-        return lambda spark, sf_dir: comparable(query(spark, sf_dir))
+    """The registry, with shuffles sized to the input and comparable result types."""
 
-    return {name: comparable_query(query) for name, query in REGISTRY.items()}
+    def prepared(query: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            size_shuffles(spark, sum(files.size_bytes(spark, p) for p in fixture.paths(sf_dir)))
+            return comparable(query(spark, sf_dir))
+
+        return run
+
+    return {name: prepared(query) for name, query in REGISTRY.items()}

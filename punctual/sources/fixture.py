@@ -17,8 +17,19 @@ ONE_STATE = "AD"
 MONTH_BOUNDS = (199501, 200112, 1)
 
 
+TABLES = ("orders", "lineitem", "customer", "supplier", "nation", "region", "events")
+
+
+def path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def paths(sf_dir: str) -> list[str]:
+    return [path(sf_dir, name) for name in TABLES]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(path(sf_dir, name))
 
 
 def _state_code(nation_key: str) -> Column:

@@ -163,18 +163,18 @@ def test_real_bytes_come_from_the_event_log(spark, sf_dir):
     assert len(measured) == 6
     assert all(row.read_bytes > 0 for row in measured)
     assert all(row.real_bytes == row.read_bytes for row in measured)
-    assert all(row.planned_files == row.opened_files for row in measured)
+    assert all(row.planned_files > 0 and row.seconds > 0 for row in measured)
 
 
-def test_files_opened_stand_in_where_no_events_are_logged(spark, sf_dir, monkeypatch):
+def test_the_plan_stands_in_where_no_events_are_logged(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(history, "event_log_path", lambda _: None)
     measured = layout_bench.measure(registry.built(spark, sf_dir), registry.PARAMS, "bench8")
     rows = measured.collect()
-    assert all(row.read_bytes is None and row.real_bytes == row.opened_bytes for row in rows)
+    assert all(row.read_bytes is None and row.real_bytes == row.planned_bytes for row in rows)
     compared = {r.query: r for r in layout_bench.comparison(measured).collect()}
     q1 = compared["q1_quarter_by_state"]
     expected = (q1.base_real_bytes - q1.opt_real_bytes) * 100 / q1.base_real_bytes
-    assert q1.reduction_pct == pytest.approx(expected, abs=0.051)
+    assert q1.reduction_pct == q1.planned_reduction_pct == pytest.approx(expected, abs=0.051)
     assert q1.opt_files < compared["q2_one_state_all_time"].opt_files
 
 

@@ -11,6 +11,7 @@ from punctual.operators.joins import heavy_keys
 from punctual.operators.rollup import (
     items_per_order,
     order_rollup,
+    order_rollup_by_order,
     order_totals,
     primary_seller,
 )
@@ -69,9 +70,9 @@ def test_one_pass_rollup_is_primary_seller_plus_totals(items):
     two_pass = a.join(b, F.col("a.order_id").eqNullSafe(F.col("b.order_id"))).select(
         "a.order_id", "seller_id", "item_count", "order_value", "freight_value"
     )
-    one_pass = order_rollup(items)
-    assert one_pass.exceptAll(two_pass).isEmpty()
-    assert two_pass.exceptAll(one_pass).isEmpty()
+    for one_pass in (order_rollup(items), order_rollup_by_order(items)):
+        assert one_pass.exceptAll(two_pass).isEmpty()
+        assert two_pass.exceptAll(one_pass).isEmpty()
 
 
 def test_one_pass_rollup_on_test_tables(spark, sf_dir):
@@ -82,9 +83,9 @@ def test_one_pass_rollup_on_test_tables(spark, sf_dir):
         .join(order_totals(per_seller), "order_id")
         .select("order_id", "seller_id", "item_count", "order_value", "freight_value")
     )
-    one_pass = order_rollup(staged)
-    assert one_pass.exceptAll(two_pass).isEmpty()
-    assert two_pass.exceptAll(one_pass).isEmpty()
+    for one_pass in (order_rollup(staged), order_rollup_by_order(staged)):
+        assert one_pass.exceptAll(two_pass).isEmpty()
+        assert two_pass.exceptAll(one_pass).isEmpty()
 
 
 def raw(spark):
@@ -139,24 +140,31 @@ def test_fact(spark):
     assert (on_the_day.item_count, on_the_day.order_value) == (3, Decimal(100))
 
 
-def test_hot_orders_take_the_broadcast_way_with_the_same_result(spark, sf_dir):
-    tables = fixture.raw_tables(spark, sf_dir)
-    orders = tables["orders"]
-    hot = marts.staged_fact(tables).agg(F.min("order_id")).first()[0]
-    copies = orders.where(F.col("order_id") == hot).withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.lit(3000)))
+def repeat(df, times, *ids):
+    copies = df.where(F.col("order_id").isin(*ids)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.lit(times)))
     )
-    tables["orders"] = orders.unionByName(copies.drop("copy"))
-    staged = marts.delivered_orders(marts.stg_orders(tables["orders"]))
-    assert heavy_keys(staged, "order_id", min_rows=100) == [hot]
-    assert heavy_keys(staged, "order_id") == []
-    assert heavy_keys(staged.where("false"), "order_id") == []
+    return df.unionByName(copies.drop("copy"))
+
+
+def test_hot_orders_go_their_own_way_with_the_same_result(spark, sf_dir):
+    tables = fixture.raw_tables(spark, sf_dir)
+    ids = [r.order_id for r in marts.staged_fact(tables).orderBy("order_id").limit(2).collect()]
+    tables["orders"] = repeat(tables["orders"], 3000, ids[0])
+    tables["order_items"] = repeat(tables["order_items"], 10_000, ids[1])
+    orders = marts.delivered_orders(marts.stg_orders(tables["orders"]))
+    items = tables["order_items"]
+    assert heavy_keys("order_id", orders, items, min_rows=100) == ids
+    assert heavy_keys("order_id", orders, items) == []
+    assert heavy_keys("order_id", orders.where("false"), items.where("false")) == []
 
     plain, split = marts.staged_fact(tables), marts.staged_fact(tables, hot_rows=100)
-    assert "isin" not in plain._jdf.queryExecution().logical().toString()
+    assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in split._jdf.queryExecution().analyzed().toString()
     assert split.exceptAll(plain).isEmpty()
     assert plain.exceptAll(split).isEmpty()
-    assert split.where(F.col("order_id") == hot).count() == 3001
+    assert split.where(F.col("order_id") == ids[0]).count() == 3001
+    assert split.where(F.col("order_id") == ids[1]).first().item_count > 10_000
 
 
 def test_dim_seller(spark):

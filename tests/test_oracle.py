@@ -14,6 +14,15 @@ import __spark_entry__ as contract
 
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 NO_SQL = {"layout_report"}  # file sizes are not in SQL
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +59,10 @@ def test_matches_sql(spark, duck, sf_dir, name):
         assert rows
         return
     expected = duck.sql(ORACLE[name])
-    assert sorted(df.columns) == sorted(expected.columns)
+    types = {name: TYPES[kind] for name, kind in df.dtypes}
+    assert types == {
+        name: str(kind) for name, kind in zip(expected.columns, expected.types, strict=True)
+    }
     assert normal(rows, df.columns) == normal(expected.fetchall(), expected.columns)
 
 

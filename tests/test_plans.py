@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from punctual import registry
 from punctual.contracts import CLUSTER_KEYS, FACT, FACT_COLUMNS, FACT_OPT
 from punctual.operators.rollup import items_per_order, order_rollup, primary_seller
-from punctual.plans import gates, layout_bench, marts, reports
+from punctual.plans import bi, gates, layout_bench, marts, reports
 from punctual.sources import fixture
+from punctual.sources.states import ref_br_state
 
 
 def plan(df) -> str:
@@ -118,8 +119,10 @@ def test_fact_forces_no_broadcast_and_reuses_the_order_partitioning(spark, sf_di
     text = plan(marts.staged_fact(fixture.raw_tables(spark, sf_dir)))
     assert "Broadcast" not in text
     assert text.count("SortMergeJoin") == 3
-    # items 2, customers 1, sellers 1, orders by customer / order / seller 3
-    assert text.count("Exchange hashpartitioning") == 7
+    # items 1, customers 1, sellers 1, orders by customer / order / seller 3
+    assert text.count("Exchange hashpartitioning") == 6
+    # rows without an order never reach a shuffle
+    assert all("IsNotNull(l_orderkey)" in s for s in text.splitlines() if "l_suppkey" in s and "FileScan" in s)
 
 
 def test_mart_checks_scan_each_measure_once(warehouse):
@@ -154,3 +157,43 @@ def test_calendar_is_built_from_one_aggregate_row(layer):
     text = plan(layer["vw_bi_calendar"])
     assert text.count("FileScan") == 1
     assert "ReadSchema: struct<order_date:date>" in text
+
+
+def test_reference_states_join_by_broadcast(spark, warehouse):
+    text = plan(bi.bi_orders(warehouse.read(FACT_OPT), ref_br_state(spark)))
+    assert "BroadcastHashJoin" in text
+    assert "hashpartitioning" not in text
+
+
+def test_hot_customers_and_sellers_are_split(spark, sf_dir):
+    """Adaptive execution splits both skewed joins of the fact, whatever follows them."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    tables = fixture.raw_tables(spark, sf_dir)
+    third = F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0
+    tables["orders"] = tables["orders"].withColumn(
+        "customer_id", F.when(third, F.lit(0)).otherwise(F.col("customer_id"))
+    ).repartition(8)
+    tables["order_items"] = tables["order_items"].withColumn(
+        "seller_id", F.when(third, F.lit(0)).otherwise(F.col("seller_id"))
+    )
+    expected = marts.staged_fact(tables).collect()
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        fact = marts.staged_fact(tables)
+        rows = fact.collect()
+        final = plan(fact).split("Initial Plan")[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert sorted(map(str, rows)) == sorted(map(str, expected))
+    for key in ("customer_id", "seller_id"):
+        assert re.search(rf"SortMergeJoin\(skew=true\) \[{key}", final), key
