@@ -65,16 +65,6 @@ def flag(late: Column, on_time: int) -> Column:
     return F.when(late, F.lit(0)).otherwise(F.lit(on_time)).cast("bigint")
 
 
-def share_not(condition: Column) -> Column:
-    """Share of rows where ``condition`` is not true; NULL for no rows.
-
-    The numerator is subtracted as an integer: ``1 - late/n`` in floating point can
-    land just under a rounding tie.
-    """
-    rows = F.count(F.lit(1))
-    return F.try_divide(rows - F.count_if(condition), rows)
-
-
 def mean_money(name: str) -> Column:
     """Mean of an exact money column, to 9 decimals."""
     return F.try_divide(F.sum(name), F.count(name)).cast(NUMERIC)

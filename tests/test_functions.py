@@ -82,12 +82,6 @@ def test_mean_money_is_exact(spark):
     assert df.where("v > 5").agg(scalar.mean_money("v").alias("m")).first().m is None
 
 
-def test_share_not(spark):
-    df = spark.createDataFrame([(True,), (False,), (None,), (False,)], "late boolean")
-    assert df.agg(scalar.share_not(F.col("late"))).first()[0] == 0.75  # unknown is not late
-    assert df.where("false").agg(scalar.share_not(F.col("late"))).first()[0] is None
-
-
 def test_flag_of_unknown_is_on_time(spark):
     df = spark.createDataFrame([(True,), (False,), (None,)], "late boolean")
     assert [r[0] for r in df.select(scalar.flag(F.col("late"), 100)).collect()] == [0, 100, 100]

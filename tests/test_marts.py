@@ -185,6 +185,17 @@ def test_dim_seller(spark):
     assert dim["s2"].seller_state == "MG"
 
 
+def test_dim_seller_stays_one_row_per_seller(spark):
+    table = fact(
+        spark,
+        {"seller_state": "SP", "delivery_days": None, "freight_value": None},
+        {"seller_state": "MG", "delivery_days": None, "freight_value": None},
+    )
+    row = marts.dim_seller(table).collect()
+    assert [(r.seller_state, r.delivered_orders) for r in row] == [("MG", 2)]
+    assert (row[0].avg_delivery_days, row[0].avg_freight_value) == (None, None)
+
+
 # -- BI layer --------------------------------------------------------------------------
 
 

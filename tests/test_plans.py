@@ -125,6 +125,14 @@ def test_fact_forces_no_broadcast_and_reuses_the_order_partitioning(spark, sf_di
     assert all("IsNotNull(l_orderkey)" in s for s in text.splitlines() if "l_suppkey" in s and "FileScan" in s)
 
 
+def test_dimension_does_not_sort_the_fact(warehouse):
+    text = plan(marts.dim_seller(warehouse.read(FACT)))
+    # sorting starts after the first aggregation has reduced the fact to sellers
+    below = text[text.index("HashAggregate(keys=[seller_id") :]
+    assert "Sort" not in below
+    assert text.count("FileScan") == 1
+
+
 def test_mart_checks_scan_each_measure_once(warehouse):
     text = plan(gates.warehouse_mart_checks(warehouse))
     # fact: measures, order ids, sellers; dim: measures, ids, members
