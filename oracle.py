@@ -134,11 +134,13 @@ MONTHLY = f"""SELECT order_month, CAST(strptime(CAST(order_month AS VARCHAR), '%
 BY_STATE = f"""SELECT customer_state, 'BR-' || customer_state AS customer_region_code, {RATES}
   FROM fact GROUP BY customer_state"""
 
-TREND = """SELECT c.order_month, c.month_start, c.month_label, m.delivered_orders, m.on_time_rate
+TREND = """SELECT c.order_month, c.month_start, c.month_label,
+  CAST(m.delivered_orders AS DOUBLE) AS delivered_orders, m.on_time_rate
   FROM (SELECT DISTINCT order_month, month_start, month_label FROM calendar) c
   LEFT JOIN (SELECT order_month, count(*) AS delivered_orders,
                     CAST(sum(on_time_flag) AS DOUBLE) / count(*) AS on_time_rate
-             FROM bi_orders WHERE customer_state = 'AD' GROUP BY order_month) m USING (order_month)"""
+             FROM bi_orders WHERE customer_state = 'AD' GROUP BY order_month) m
+    USING (order_month)"""
 
 STATE_RANKING = """SELECT customer_state_name, count(*) AS delivered_orders,
   CAST(sum(on_time_flag) AS DOUBLE) / count(*) AS on_time_rate
@@ -272,6 +274,7 @@ def queries() -> dict[str, str]:
         "range_bucket": """SELECT order_month,
             CAST(len(list_filter(range(199501, 200113), lambda b: b <= order_month)) AS BIGINT)
               AS bucket,
+            CAST(least(greatest(order_month - 199500, 0), 613) AS BIGINT) AS bounds_passed,
             order_month >= 199501 AND order_month < 200112 AS in_range, count(*) AS orders
             FROM fact GROUP BY order_month""",
         "ref_state": "SELECT code, name, region FROM states",

@@ -72,7 +72,7 @@ def fct_delivery_performance(
     their size; a hot customer or seller is split by adaptive execution.
     """
     delivered = delivered_orders(staged_orders)
-    hot = heavy_keys("order_id", delivered, staged_items, min_rows=hot_rows)
+    hot = heavy_keys("order_id", staged_orders, staged_items, min_rows=hot_rows)
     orders = delivered.join(
         customers.select("customer_id", "customer_state"), "customer_id"
     ).drop("customer_id")

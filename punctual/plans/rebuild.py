@@ -10,7 +10,7 @@ from punctual.operators.layout import write_partitioned
 from punctual.plans.bi import bi_views, register_views
 from punctual.plans.gates import warehouse_bi_checks, warehouse_mart_checks
 from punctual.plans.marts import build_marts, stg_order_items, stg_orders
-from punctual.session import size_shuffles
+from punctual.session import prepare
 from punctual.sources import csv_load
 from punctual.sources.states import ref_br_state
 from punctual.sources.warehouse import Warehouse
@@ -29,7 +29,7 @@ def build(
     one, whatever executors are lost.
     """
     spark = warehouse.spark
-    size_shuffles(spark, sum(warehouse.size_bytes(table) for table in RAW_TABLES))
+    prepare(spark, sum(warehouse.size_bytes(table) for table in RAW_TABLES))
     raw = {table: warehouse.read(table) for table in RAW_TABLES}
     register_views(
         {

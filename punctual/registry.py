@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctual.contracts import DIM_SELLER, FACT, FACT_OPT, RAW_TABLES
-from punctual.functions.scalar import range_bucket, safe_numeric, safe_timestamp
+from punctual.functions.scalar import range_bucket, range_bucket_of, safe_numeric, safe_timestamp
 from punctual.operators.checks import gate_total
 from punctual.operators.layout import write_partitioned
 from punctual.operators.rollup import items_per_order, order_totals, primary_seller
 from punctual.plans import bi, gates, layout_bench, marts, reports
 from punctual.plans.rebuild import extract, rebuild
-from punctual.session import scratch_dir, size_shuffles
+from punctual.session import prepare, scratch_dir
 from punctual.sources import csv_load, files, fixture, history
 from punctual.sources.warehouse import Warehouse, contents, row_counts
 
@@ -190,14 +190,22 @@ def fct_opt_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def range_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows per range partition; outside the bounds lies the catch-all partition."""
     low, high, step = fixture.MONTH_BOUNDS
-    bucket = range_bucket(F.col("order_month"), low, high, step)
-    inside = (bucket > 0) & (F.col("order_month") < high)
+    month = F.col("order_month")
+    bucket = range_bucket(month, low, high, step)
+    counted = range_bucket_of(month, F.sequence(F.lit(low), F.lit(high), F.lit(step)))
+    inside = (bucket > 0) & (month < high)
     return (
         built(spark, sf_dir)
         .read(FACT_OPT)
         .groupBy("order_month")
         .agg(F.count(F.lit(1)).alias("orders"))
-        .select("order_month", bucket.alias("bucket"), inside.alias("in_range"), "orders")
+        .select(
+            "order_month",
+            bucket.alias("bucket"),
+            counted.alias("bounds_passed"),
+            inside.alias("in_range"),
+            "orders",
+        )
     )
 
 
@@ -259,7 +267,12 @@ def _one_state(layer: dict[str, DataFrame]) -> DataFrame:
 
 
 def _trend(layer: dict[str, DataFrame]) -> DataFrame:
-    return reports.monthly_trend(_one_state(layer), layer["vw_bi_calendar"])
+    """The trend of one state, which has gaps.
+
+    Its counts leave as doubles: a NULL among integers has no common form elsewhere.
+    """
+    trend = reports.monthly_trend(_one_state(layer), layer["vw_bi_calendar"])
+    return trend.withColumn("delivered_orders", F.col("delivered_orders").cast("double"))
 
 
 def _slice(layer: dict[str, DataFrame]) -> DataFrame:
@@ -371,11 +384,11 @@ REGISTRY: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    """The registry, with shuffles sized to the input and comparable result types."""
+    """The registry, with the session fitted to the input and comparable result types."""
 
     def prepared(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            size_shuffles(spark, sum(files.size_bytes(spark, p) for p in fixture.paths(sf_dir)))
+            prepare(spark, sum(files.size_bytes(spark, p) for p in fixture.paths(sf_dir)))
             return comparable(query(spark, sf_dir))
 
         return run

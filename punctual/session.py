@@ -8,6 +8,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 SHUFFLE_BYTES = 128 * 1024 * 1024
+SCAN_TASKS = 200_000
+MAX_SCAN_BYTES = 1024 * 1024 * 1024
+
+SQL_SETTINGS = {
+    # dates are taken in UTC
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    # a hot seller or customer is split even where that costs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 
 
 def get_session(app: str = "punctual", master: str | None = None, **conf: str) -> SparkSession:
@@ -15,14 +25,9 @@ def get_session(app: str = "punctual", master: str | None = None, **conf: str) -
 
     ``conf`` keys use ``__`` for dots, e.g. ``spark__eventLog__enabled="true"``.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        # A hot seller or customer is split even where that costs one more shuffle.
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        .config("spark.ui.enabled", "false")
-    )
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    for key, value in SQL_SETTINGS.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
@@ -34,16 +39,21 @@ def get_session(app: str = "punctual", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, ceiling: int = 100_000) -> int:
-    """Give each shuffle task about 128 MiB of ``input_bytes``.
+def prepare(spark: SparkSession, input_bytes: int) -> None:
+    """Fit a running session to a job over ``input_bytes``.
 
-    The configured partition count is the lower bound; adaptive execution merges
-    partitions that turn out small, so too many cost little and too few spill.
+    Shuffles get one partition per 128 MiB of input, scans at most 200,000 tasks of up
+    to 1 GiB. What the session has configured is the lower bound: adaptive execution
+    merges partitions that turn out small, so too many cost little and too few spill.
     """
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(floor, math.ceil(input_bytes / SHUFFLE_BYTES)), ceiling)
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    for key, value in SQL_SETTINGS.items():
+        spark.conf.set(key, value)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(math.ceil(input_bytes / SHUFFLE_BYTES), SCAN_TASKS)
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(partitions, wanted)))
+    scan = min(math.ceil(input_bytes / SCAN_TASKS), MAX_SCAN_BYTES)
+    if scan > SHUFFLE_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{scan}b")
 
 
 def scratch_dir(spark: SparkSession) -> str:

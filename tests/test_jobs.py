@@ -13,7 +13,7 @@ from punctual.__main__ import main
 from punctual.contracts import DIM_SELLER, FACT, FACT_OPT, RAW_TABLES
 from punctual.operators.checks import GateFailed
 from punctual.plans import layout_bench, rebuild
-from punctual.session import scratch_dir, size_shuffles
+from punctual.session import SQL_SETTINGS, prepare, scratch_dir
 from punctual.sources import csv_load, fixture, history
 from punctual.sources.warehouse import Warehouse, contents
 
@@ -212,14 +212,20 @@ def test_lookback_window(spark):
 # -- session ---------------------------------------------------------------------------
 
 
-def test_shuffles_grow_with_the_input(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+def test_session_grows_with_the_input(spark):
+    shuffles, scans = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before = {key: spark.conf.get(key) for key in (shuffles, scans, *SQL_SETTINGS)}
     try:
-        assert size_shuffles(spark, 0) == int(before)
-        assert size_shuffles(spark, 1 << 40) == 8192
-        assert size_shuffles(spark, 1 << 60) == 100_000
+        prepare(spark, 0)
+        assert {key: spark.conf.get(key) for key in before} == before
+        prepare(spark, 1 << 40)
+        assert (spark.conf.get(shuffles), spark.conf.get(scans)) == ("8192", before[scans])
+        prepare(spark, 100 << 40)
+        assert spark.conf.get(shuffles) == "200000"
+        assert spark.conf.get(scans) == f"{-(-(100 << 40) // 200_000)}b"
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_scratch_follows_the_cluster_setting(spark):

@@ -6,14 +6,17 @@ import datetime
 import re
 
 import pytest
+from frames import fact
 from pyspark.sql import functions as F
 
 from punctual import registry
 from punctual.contracts import CLUSTER_KEYS, FACT, FACT_COLUMNS, FACT_OPT
+from punctual.operators.layout import write_partitioned
 from punctual.operators.rollup import items_per_order, order_rollup, primary_seller
 from punctual.plans import bi, gates, layout_bench, marts, reports
 from punctual.sources import fixture
 from punctual.sources.states import ref_br_state
+from punctual.sources.warehouse import Warehouse
 
 
 def plan(df) -> str:
@@ -47,11 +50,11 @@ def unsized(spark):
 
 
 def test_copy_holds_exactly_the_fact(warehouse):
-    fact, opt = warehouse.read(FACT), warehouse.read(FACT_OPT)
-    assert opt.columns == list(FACT_COLUMNS) == fact.columns
-    assert [f.dataType for f in opt.schema] == [f.dataType for f in fact.schema]
-    assert fact.exceptAll(opt).isEmpty()
-    assert opt.exceptAll(fact).isEmpty()
+    source, opt = warehouse.read(FACT), warehouse.read(FACT_OPT)
+    assert opt.columns == list(FACT_COLUMNS) == source.columns
+    assert [f.dataType for f in opt.schema] == [f.dataType for f in source.schema]
+    assert source.exceptAll(opt).isEmpty()
+    assert opt.exceptAll(source).isEmpty()
 
 
 def test_copy_is_sorted_by_cluster_keys_in_each_file(warehouse):
@@ -122,7 +125,8 @@ def test_fact_forces_no_broadcast_and_reuses_the_order_partitioning(spark, sf_di
     # items 1, customers 1, sellers 1, orders by customer / order / seller 3
     assert text.count("Exchange hashpartitioning") == 6
     # rows without an order never reach a shuffle
-    assert all("IsNotNull(l_orderkey)" in s for s in text.splitlines() if "l_suppkey" in s and "FileScan" in s)
+    items = [line for line in text.splitlines() if "FileScan" in line and "l_suppkey" in line]
+    assert items and all("IsNotNull(l_orderkey)" in line for line in items)
 
 
 def test_dimension_does_not_sort_the_fact(warehouse):
@@ -196,12 +200,48 @@ def test_hot_customers_and_sellers_are_split(spark, sf_dir):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        fact = marts.staged_fact(tables)
-        rows = fact.collect()
-        final = plan(fact).split("Initial Plan")[0]
+        built = marts.staged_fact(tables)
+        rows = built.collect()
+        final = plan(built).split("Initial Plan")[0]
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
     assert sorted(map(str, rows)) == sorted(map(str, expected))
     for key in ("customer_id", "seller_id"):
         assert re.search(rf"SortMergeJoin\(skew=true\) \[{key}", final), key
+
+
+@pytest.fixture
+def small_warehouse(spark, tmp_path):
+    return Warehouse(spark, f"file://{tmp_path}/wh")
+
+
+def test_a_hot_seller_and_month_spread_over_many_files(spark, small_warehouse):
+    keys = F.struct(
+        F.when(F.col("id") % 3 == 0, 201801).otherwise(201701 + F.col("id") % 12).alias("m"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("s"),
+    )
+    rows = fact(spark, {}).drop("order_id", "order_month", "seller_id")
+    many = spark.range(30_000).select(F.col("id").cast("string").alias("order_id"), keys.alias("k"))
+    table = many.select(
+        "order_id",
+        F.col("k.m").cast("bigint").alias("order_month"),
+        F.col("k.s").alias("seller_id"),
+        *(F.lit(value).cast(rows.schema[name].dataType).alias(name)
+          for name, value in rows.first().asDict().items()),
+    ).select(*FACT_COLUMNS)
+    small_warehouse.replace(FACT, table)
+    opt = write_partitioned(small_warehouse, file_bytes=small_warehouse.size_bytes(FACT) // 10)
+    hot = opt.where("seller_id = 'hot'").groupBy(F.col("_metadata.file_path")).count().collect()
+    assert sum(row["count"] for row in hot) == 10_000
+    assert len(hot) >= 3 and max(row["count"] for row in hot) <= 5_000
+    assert opt.exceptAll(table).isEmpty() and table.exceptAll(opt).isEmpty()
+
+
+def test_copy_keeps_rows_without_a_month_and_odd_text(spark, small_warehouse):
+    table = fact(
+        spark, {"order_month": None}, {"seller_state": "=/%", "seller_id": ""}, {"seller_id": None}
+    )
+    small_warehouse.replace(FACT, table)
+    opt = write_partitioned(small_warehouse)
+    assert opt.exceptAll(table).isEmpty() and table.exceptAll(opt).isEmpty()
