@@ -20,24 +20,21 @@ def heavy_keys(key: str, *frames: DataFrame, min_rows: int = HOT_ROWS) -> list:
     plan and never the result, so an estimate is enough.
     """
     partitions = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = reduce(
+    found = reduce(
         DataFrame.unionByName,
-        (df.select(F.col(key), F.lit(i).alias("frame")) for i, df in enumerate(frames)),
-    )
-    found = (
-        keys.where(F.col(key).isNotNull())
-        .groupBy("frame")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k({key}, {TRACKED_KEYS})").alias("top"),
-        )
-        .collect()
-    )
+        (
+            df.where(F.col(key).isNotNull()).agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.expr(f"approx_top_k({key}, {TRACKED_KEYS})").alias("top"),
+            )
+            for df in frames
+        ),
+    ).collect()
     return sorted(
         {
             entry["item"]
             for frame in found
-            for entry in frame["top"]
+            for entry in frame["top"] or []
             if entry["count"] > max(min_rows, AQE_FACTOR * frame["rows"] / partitions)
         }
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,40 +40,58 @@ def order_totals(per_seller: DataFrame) -> DataFrame:
     )
 
 
+def _lead() -> Column:
+    """Orders sellers so that the smallest is primary: most items, then smallest id."""
+    return F.struct((-F.col("item_count")).alias("fewest"), F.col("seller_id"))
+
+
+def _with_primary(rollup: DataFrame) -> DataFrame:
+    return rollup.select(
+        "order_id",
+        F.col("lead.seller_id").alias("seller_id"),
+        "item_count",
+        "order_value",
+        "freight_value",
+    )
+
+
 def order_rollup(items: DataFrame) -> DataFrame:
-    """Primary seller and totals of each order, from one pass over the items.
+    """Primary seller and totals of each order, for orders of any size.
 
-    Both come out of the same second aggregation: the smallest (-item_count,
-    seller_id) is the primary seller. Items are read once instead of twice and no join
-    is needed. Both aggregations combine map-side, so a hot order or seller reaches its
-    reducer as one row per task.
+    Both come out of the same second aggregation, so items are read once and no join is
+    needed. Both aggregations combine map-side: a hot order or seller reaches its
+    reducer as one row per task. The price is two shuffles.
     """
-    lead = F.struct((-F.col("item_count")).alias("fewest"), F.col("seller_id"))
-    return (
+    return _with_primary(
         items_per_order(items)
         .groupBy("order_id")
         .agg(
-            F.min(lead).alias("lead"),
+            F.min(_lead()).alias("lead"),
             F.sum("item_count").alias("item_count"),
             F.sum("order_value").alias("order_value"),
             F.sum("freight_value").alias("freight_value"),
         )
-        .select(
-            "order_id",
-            F.col("lead.seller_id").alias("seller_id"),
-            "item_count",
-            "order_value",
-            "freight_value",
-        )
     )
 
 
 def order_rollup_by_order(items: DataFrame) -> DataFrame:
-    """The same rollup with one shuffle, for orders that each fit a task.
+    """The same rollup with one shuffle and one sort, for orders that each fit a task.
 
-    Partitioning the items by order serves both aggregations and the later join, which
-    halves the shuffled bytes: few items share order and seller, so combining them
-    map-side saves next to nothing. Hot orders must be kept out.
+    Items are partitioned by order and sorted by (order, seller) once. That serves the
+    count per seller, the aggregation per order, which streams over the sorted rows, and
+    the later join by order. Combining map-side would save next to nothing, because few
+    items share order and seller. Hot orders must be kept out.
     """
-    narrow = items.select("order_id", "seller_id", "price", "freight_value")
-    return order_rollup(narrow.repartition("order_id"))
+    per_seller = Window.partitionBy("order_id", "seller_id")
+    return _with_primary(
+        items.select("order_id", "seller_id", "price", "freight_value")
+        .repartition("order_id")
+        .withColumn("item_count", F.count(F.lit(1)).over(per_seller))
+        .groupBy("order_id")
+        .agg(
+            F.min(_lead()).alias("lead"),
+            F.count(F.lit(1)).alias("item_count"),
+            F.sum("price").alias("order_value"),
+            F.sum("freight_value").alias("freight_value"),
+        )
+    )

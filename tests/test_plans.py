@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from punctual import registry
 from punctual.contracts import CLUSTER_KEYS, FACT, FACT_COLUMNS, FACT_OPT
 from punctual.operators.layout import write_partitioned
-from punctual.operators.rollup import items_per_order, order_rollup, primary_seller
+from punctual.operators.rollup import (
+    items_per_order,
+    order_rollup,
+    order_rollup_by_order,
+    primary_seller,
+)
 from punctual.plans import bi, gates, layout_bench, marts, reports
 from punctual.sources import fixture
 from punctual.sources.states import ref_br_state
@@ -111,6 +116,14 @@ def test_items_are_scanned_once_and_combined_before_each_shuffle(spark, sf_dir):
     assert text.count("partial_min(") == 1
 
 
+def test_rollup_by_order_shuffles_and_sorts_once(spark, sf_dir):
+    items = marts.stg_order_items(fixture.raw_order_items(spark, sf_dir))
+    text = plan(order_rollup_by_order(items))
+    assert text.count("FileScan") == 1
+    assert text.count("Exchange") == 1
+    assert len(re.findall(r"\bSort \[", text)) == 1
+
+
 def test_rank_limit_runs_before_the_shuffle(spark, sf_dir):
     items = marts.stg_order_items(fixture.raw_order_items(spark, sf_dir))
     text = plan(primary_seller(items_per_order(items)))
