@@ -24,12 +24,9 @@ def write_partitioned(
     over many tasks. At most one file per task and month boundary is written.
     """
     tasks = max(1, math.ceil(warehouse.size_bytes(source) / file_bytes))
-    warehouse.drop(target)
-    (
+    rows = (
         warehouse.read(source)
         .repartitionByRange(tasks, PARTITION_KEY, *CLUSTER_KEYS, "order_id")
         .sortWithinPartitions(PARTITION_KEY, *CLUSTER_KEYS)
-        .write.partitionBy(PARTITION_KEY)
-        .parquet(warehouse.path(target))
     )
-    return warehouse.read(target)
+    return warehouse.replace(target, rows, (PARTITION_KEY,))

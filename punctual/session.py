@@ -7,9 +7,11 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-SHUFFLE_BYTES = 128 * 1024 * 1024
-SCAN_TASKS = 200_000
-MAX_SCAN_BYTES = 1024 * 1024 * 1024
+MIB = 1024 * 1024
+SHUFFLE_BYTES = 128 * MIB
+MAX_SHUFFLE_PARTITIONS = 30_000
+SCAN_BYTES = (128 * MIB, 1024 * MIB)
+SCAN_TASKS = 100_000
 
 SQL_SETTINGS = {
     # dates are taken in UTC
@@ -42,18 +44,22 @@ def get_session(app: str = "punctual", master: str | None = None, **conf: str) -
 def prepare(spark: SparkSession, input_bytes: int) -> None:
     """Fit a running session to a job over ``input_bytes``.
 
-    Shuffles get one partition per 128 MiB of input, scans at most 200,000 tasks of up
-    to 1 GiB. What the session has configured is the lower bound: adaptive execution
-    merges partitions that turn out small, so too many cost little and too few spill.
+    A shuffle moves one block per map task and reducer, so both counts must stay bounded
+    while the data grows. Shuffles get a partition per 128 MiB of input up to 30,000;
+    beyond that the partitions grow (100 TB: 3.5 GB of input each, of which a few columns
+    are shuffled). Scan splits grow to 1 GiB so that a scan keeps to 100,000 tasks. What
+    the session has configured is the lower bound: adaptive execution merges partitions
+    that turn out small, so too many cost little and too few spill.
     """
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(math.ceil(input_bytes / SHUFFLE_BYTES), SCAN_TASKS)
+    wanted = min(math.ceil(input_bytes / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
     spark.conf.set("spark.sql.shuffle.partitions", str(max(partitions, wanted)))
-    scan = min(math.ceil(input_bytes / SCAN_TASKS), MAX_SCAN_BYTES)
-    if scan > SHUFFLE_BYTES:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{scan}b")
+    smallest, largest = SCAN_BYTES
+    split = min(math.ceil(input_bytes / SCAN_TASKS), largest)
+    if split > smallest:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{split}b")
 
 
 def scratch_dir(spark: SparkSession) -> str:

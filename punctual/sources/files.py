@@ -25,6 +25,16 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def swap_in(spark: SparkSession, source: str, target: str) -> None:
+    """Put the finished folder ``source`` in the place of ``target``."""
+    fs, old = _path(spark, target)
+    new = spark._jvm.org.apache.hadoop.fs.Path(source)
+    fs.mkdirs(old.getParent())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def size_bytes(spark: SparkSession, path: str) -> int:
     """Total bytes of the files under ``path``."""
     fs, hadoop = _path(spark, path)

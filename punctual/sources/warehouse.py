@@ -14,7 +14,7 @@ MART_TABLES = (FACT, DIM_SELLER, FACT_OPT)
 
 
 class Warehouse:
-    """Tables under ``root``; every write replaces the whole table."""
+    """Tables under ``root``; every write replaces the whole table, or nothing."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -38,9 +38,15 @@ class Warehouse:
     def size_bytes(self, table: str) -> int:
         return files.size_bytes(self.spark, self.path(table))
 
-    def replace(self, table: str, df: DataFrame) -> DataFrame:
-        """Create or replace ``table`` as ``df`` and return the written table."""
-        df.write.mode("overwrite").parquet(self.path(table))
+    def replace(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Create or replace ``table`` as ``df`` and return the written table.
+
+        The new table takes the old one's place when it is complete. A job that fails
+        half way leaves the old table, and readers never see a part of the new one.
+        """
+        staged = f"{self.root}/.staging/{table}"
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
+        files.swap_in(self.spark, staged, self.path(table))
         return self.read(table)
 
     def read(self, table: str) -> DataFrame:

@@ -81,6 +81,15 @@ def test_malformed_row_fails_the_load(spark, source, tmp_path, bad):
         csv_load.load(Warehouse(spark, f"{tmp_path}/wh"), str(source))
 
 
+def test_failed_load_leaves_the_old_table(spark, source, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    csv_load.load(warehouse, write(source))
+    write(source, sellers=[*ROWS["sellers"], "s2,SP,extra"])
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        csv_load.load(warehouse, str(source))
+    assert warehouse.read("sellers").count() == 2
+
+
 def test_preflight_names_all_missing_files_before_touching_tables(spark, source, tmp_path):
     root = f"{tmp_path}/wh"
     csv_load.load(Warehouse(spark, root), write(source))
@@ -221,8 +230,8 @@ def test_session_grows_with_the_input(spark):
         prepare(spark, 1 << 40)
         assert (spark.conf.get(shuffles), spark.conf.get(scans)) == ("8192", before[scans])
         prepare(spark, 100 << 40)
-        assert spark.conf.get(shuffles) == "200000"
-        assert spark.conf.get(scans) == f"{-(-(100 << 40) // 200_000)}b"
+        assert spark.conf.get(shuffles) == "30000"
+        assert spark.conf.get(scans) == f"{1 << 30}b"
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
