@@ -147,18 +147,19 @@ def repeat(df, times, *ids):
     return df.unionByName(copies.drop("copy"))
 
 
-def test_hot_orders_go_their_own_way_with_the_same_result(spark, sf_dir):
+def test_hot_orders_go_their_own_way_with_the_same_result(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr("punctual.operators.joins.AQE_FACTOR", 0)  # size alone makes a key hot
     tables = fixture.raw_tables(spark, sf_dir)
     ids = [r.order_id for r in marts.staged_fact(tables).orderBy("order_id").limit(2).collect()]
     tables["orders"] = repeat(tables["orders"], 3000, ids[0])
     tables["order_items"] = repeat(tables["order_items"], 10_000, ids[1])
     orders = marts.delivered_orders(marts.stg_orders(tables["orders"]))
     items = tables["order_items"]
-    assert heavy_keys("order_id", orders, items, min_rows=100) == ids
+    assert heavy_keys("order_id", orders, items, min_rows=2000) == ids
     assert heavy_keys("order_id", orders, items) == []
     assert heavy_keys("order_id", orders.where("false"), items.where("false")) == []
 
-    plain, split = marts.staged_fact(tables), marts.staged_fact(tables, hot_rows=100)
+    plain, split = marts.staged_fact(tables), marts.staged_fact(tables, hot_rows=2000)
     assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" in split._jdf.queryExecution().analyzed().toString()
     assert split.exceptAll(plain).isEmpty()
@@ -167,6 +168,13 @@ def test_hot_orders_go_their_own_way_with_the_same_result(spark, sf_dir):
     assert split.where(F.col("order_id") == ids[1]).first().item_count > 10_000
 
 
+def test_a_key_is_hot_by_its_share_too(spark):
+    key = F.when(F.col("id") < 7000, 1).otherwise(F.col("id"))
+    rows = spark.range(10_000).select(key.alias("k"))
+    assert heavy_keys("k", rows, min_rows=1000) == [1]  # 8 partitions: above 5/8 of all rows
+    assert heavy_keys("k", rows.where("k > 1 OR rand(1) < 0.2"), min_rows=1000) == []
+
+
 def test_dim_seller(spark):
     table = fact(
         spark,
