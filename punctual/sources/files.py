@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches the glob ``pattern``."""
+    fs, hadoop = _path(spark, pattern)
+    return bool(fs.globStatus(hadoop))
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop = _path(spark, path)
     fs.mkdirs(hadoop)

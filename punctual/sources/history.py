@@ -30,8 +30,8 @@ def event_log_path(spark: SparkSession) -> str | None:
     if conf.get("spark.eventLog.compress", "true") == "true":
         return None
     folder, app = conf.get("spark.eventLog.dir").rstrip("/"), spark.sparkContext.applicationId
-    rolling = f"{folder}/eventlog_v2_{app}"
-    return f"{rolling}/events_*" if files.exists(spark, rolling) else f"{folder}/{app}*"
+    rolling, single = f"{folder}/eventlog_v2_{app}*/events_*", f"{folder}/{app}*"
+    return next((path for path in (rolling, single) if files.matches(spark, path)), None)
 
 
 def job_history(spark: SparkSession, path: str) -> DataFrame:

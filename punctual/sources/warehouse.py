@@ -7,7 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.contracts import DIM_SELLER, FACT, FACT_COLUMNS, FACT_OPT, RAW_TABLES
+from punctual.contracts import (
+    DIM_SELLER,
+    FACT,
+    FACT_COLUMNS,
+    FACT_OPT,
+    PARTITION_KEY,
+    RAW_TABLES,
+)
 from punctual.sources import files
 
 MART_TABLES = (FACT, DIM_SELLER, FACT_OPT)
@@ -50,13 +57,13 @@ class Warehouse:
         return self.read(table)
 
     def read(self, table: str) -> DataFrame:
+        df = self.spark.read.parquet(self.path(table))
         if table == FACT_OPT:
-            # The partition key is no column of the files, so its type and place
-            # come from the fact's contract and not from the folder names.
-            fact = self.spark.read.parquet(self.path(FACT)).schema
-            opt = self.spark.read.schema(fact).parquet(self.path(FACT_OPT))
-            return opt.select(*FACT_COLUMNS)
-        return self.spark.read.parquet(self.path(table))
+            # The partition key is no column of the files: it comes last, and its type is
+            # guessed from the folder names. The contract decides both.
+            df = df.withColumn(PARTITION_KEY, F.col(PARTITION_KEY).cast("bigint"))
+            df = df.select(*FACT_COLUMNS)
+        return df
 
     def publish(self, database: str) -> None:
         """Register the tables in the catalog, so that SQL can name them."""
