@@ -21,9 +21,12 @@ def write_partitioned(
     cut into as many files as its size needs, each with its own range of states, so a
     filter on the state skips files and row groups. The order id comes last only to make
     the range key divisible: a seller or month with a third of all rows still spreads
-    over many tasks. At most one file per task and month boundary is written.
+    over many tasks. A task writes ``file_bytes``, or down to a quarter of it where cores
+    would idle, plus one file for each month boundary in its range.
     """
-    tasks = max(1, math.ceil(warehouse.size_bytes(source) / file_bytes))
+    files = warehouse.size_bytes(source) / file_bytes
+    cores = warehouse.spark.sparkContext.defaultParallelism
+    tasks = max(1, math.ceil(files), min(cores, math.ceil(4 * files)))
     rows = (
         warehouse.read(source)
         .repartitionByRange(tasks, PARTITION_KEY, *CLUSTER_KEYS, "order_id")
