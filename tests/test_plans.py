@@ -196,9 +196,9 @@ def test_hot_customers_and_sellers_are_split(spark, sf_dir):
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512b",
     }
     tables = fixture.raw_tables(spark, sf_dir)
     third = F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0
