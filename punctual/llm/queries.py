@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from punctual.llm import line_dedup, sharding
+from punctual.llm import decontaminate, line_dedup, sharding, simhash
 from punctual.llm.common import table
 
 
+def _over(function, *tables: str):
+    return lambda spark, sf_dir: function(*(table(spark, sf_dir, name) for name in tables))
+
+
 def queries() -> dict:
     return {
-        "op2_sharding": lambda spark, d: sharding.op2_sharding(table(spark, d, "documents")),
-        "op5_line_dedup": lambda spark, d: line_dedup.op5_line_dedup(table(spark, d, "documents")),
+        "op1_simhash": _over(simhash.op1_simhash, "documents"),
+        "op2_sharding": _over(sharding.op2_sharding, "documents"),
+        "op5_line_dedup": _over(line_dedup.op5_line_dedup, "documents"),
+        "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
     }
 
 
