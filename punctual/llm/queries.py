@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from punctual.llm import decontaminate, line_dedup, sharding, simhash
+from punctual.llm import (
+    bpe,
+    decontaminate,
+    language_id,
+    line_dedup,
+    quality,
+    sharding,
+    simhash,
+)
 from punctual.llm.common import table
 
 
@@ -16,6 +24,9 @@ def queries() -> dict:
         "op2_sharding": _over(sharding.op2_sharding, "documents"),
         "op5_line_dedup": _over(line_dedup.op5_line_dedup, "documents"),
         "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
+        "op7_quality": _over(quality.op7_quality, "documents", "labels"),
+        "op8_language_id": _over(language_id.op8_language_id, "documents"),
+        "op9_bpe": _over(bpe.op9_bpe, "documents"),
     }
 
 

@@ -1,0 +1,91 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from punctual.llm import bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+TEXTS = [
+    "",
+    " \t\n",
+    "Hello,  World!\x0b\x0cIt's 1234 o'clock now x\u0085y\x1cz",
+    "<|endoftext|>a<|startoftext|> <|ENDOFTEXT|> x<|endoftext|>",
+    "é e ́ ́a 한국어 ﬁ İ ΑΣ ΣΑΣ. Straße",
+    "naïve\tcafé\r\n日本語テキスト 🙂👩‍👩‍👧 ���",
+    "x" * 5000,
+    "ab" * 3000 + "<|endoftext|>" + "q" * 700 + "1" * 900 + "!?" * 500,
+    "the" * 2000 + "'s" + "É" * 1500,
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_texts_encode_as_in_the_library(library, text):
+    assert bpe.Codec(PATH).encode(text.encode()) == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(max_size=12) | st.sampled_from(["'s", "<|endoftext|>", " ", "\n"]), max_size=12))
+def test_random_texts(library, parts):
+    text = "".join(parts)
+    assert bpe.codec(PATH).encode(text.encode()) == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("leaf", [3, 16, 64])
+@pytest.mark.parametrize("letters", ["ab", "aeiourstnl", "ing", "etaoinshrdlucmfwypvbgkjqxz"])
+def test_joined_halves_agree_with_the_whole(library, monkeypatch, leaf, letters):
+    monkeypatch.setattr(bpe, "LEAF", leaf)
+    monkeypatch.setattr(bpe, "WINDOW", 1)
+    rng = random.Random(leaf)
+    coder = bpe.Codec(PATH)
+    for _ in range(60):
+        word = "".join(rng.choices(letters, k=rng.randrange(1, 400)))
+        assert coder.join_tree(word) == library.encode(word, add_special_tokens=False).ids
+
+
+def test_remembered_words_are_bounded(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN", 50)
+    coder = bpe.Codec(PATH)
+    for i in range(20):
+        text = " ".join(f"w{i * j}" for j in range(40))
+        assert coder.encode(text.encode()) == library.encode(text, add_special_tokens=False).ids
+        assert len(coder.known) <= 50
+
+
+def test_query_with_nulls_and_clashing_columns(spark, library):
+    rows = [(i, t, "x", [7]) for i, t in enumerate(TEXTS)] + [
+        (None, None, "x", None),
+        (5, "again", "y", None),
+        (5, "again", "y", None),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, decoded string, IDS array<int>")
+    got = bpe.encode_decode(df, PATH)
+    assert got.columns == ["doc_id", "text", "ids", "decoded"]
+    for r in got.collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert r.ids == ids
+        assert r.decoded == library.decode(ids, skip_special_tokens=False)
+    assert bpe.op9_bpe(df.where("false")).collect() == []
+
+
+def test_query_on_a_table(spark, sf_dir, library):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {tuple(r) for r in bpe.op9_bpe(docs).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    wanted = set()
+    for r in docs.collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        wanted.add((r.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(text)))
+    assert got == wanted
