@@ -6,6 +6,7 @@ from punctual.llm import (
     bpe,
     decontaminate,
     language_id,
+    language_model,
     line_dedup,
     quality,
     sharding,
@@ -22,6 +23,7 @@ def queries() -> dict:
     return {
         "op1_simhash": _over(simhash.op1_simhash, "documents"),
         "op2_sharding": _over(sharding.op2_sharding, "documents"),
+        "op3_lm_scoring": _over(language_model.op3_lm_scoring, "documents"),
         "op5_line_dedup": _over(line_dedup.op5_line_dedup, "documents"),
         "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
         "op7_quality": _over(quality.op7_quality, "documents", "labels"),
