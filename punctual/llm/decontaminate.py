@@ -328,3 +328,34 @@ def op6_decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, k, array_to_string(w[s:s + k - 1], ' ') AS win
+  FROM (SELECT item, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s
+        FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s
+        FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
+m AS (SELECT doc_id, item, k, s FROM dw JOIN iw USING (k, win)),
+h AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM m) GROUP BY doc_id),
+n AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

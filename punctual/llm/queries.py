@@ -5,6 +5,7 @@ from __future__ import annotations
 from punctual.llm import (
     bpe,
     decontaminate,
+    embedding_dedup,
     language_id,
     language_model,
     line_dedup,
@@ -24,6 +25,7 @@ def queries() -> dict:
         "op1_simhash": _over(simhash.op1_simhash, "documents"),
         "op2_sharding": _over(sharding.op2_sharding, "documents"),
         "op3_lm_scoring": _over(language_model.op3_lm_scoring, "documents"),
+        "op4_embedding_dedup": _over(embedding_dedup.op4_embedding_dedup, "embeddings"),
         "op5_line_dedup": _over(line_dedup.op5_line_dedup, "documents"),
         "op6_decontaminate": _over(decontaminate.op6_decontaminate, "documents", "benchmark"),
         "op7_quality": _over(quality.op7_quality, "documents", "labels"),
@@ -33,4 +35,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": sharding.ORACLE, "op5_line_dedup": line_dedup.ORACLE}
+    return {
+        "op2_sharding": sharding.ORACLE,
+        "op4_embedding_dedup": embedding_dedup.ORACLE,
+        "op5_line_dedup": line_dedup.ORACLE,
+        "op6_decontaminate": decontaminate.ORACLE,
+    }
