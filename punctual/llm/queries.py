@@ -12,6 +12,7 @@ from punctual.llm import (
     quality,
     sharding,
     simhash,
+    substring_dedup,
 )
 from punctual.llm.common import table
 
@@ -31,6 +32,7 @@ def queries() -> dict:
         "op7_quality": _over(quality.op7_quality, "documents", "labels"),
         "op8_language_id": _over(language_id.op8_language_id, "documents"),
         "op9_bpe": _over(bpe.op9_bpe, "documents"),
+        "op10_substring_dedup": _over(substring_dedup.op10_substring_dedup, "documents"),
     }
 
 

@@ -48,15 +48,15 @@ def cloud(n, width=16, seed=0):
 
 
 @pytest.mark.parametrize(("tile", "width"), [(2048, 3), (25, 16), (2048, 40)])
-def test_matches_brute_force(spark, monkeypatch, tile, width):
-    monkeypatch.setattr(ed, "PAIRS", 100)
+def test_matches_brute_force(spark, tile, width):
     rows = cloud(300, width)
     df = spark.createDataFrame(rows, SCHEMA)
     got = ed.near_vectors(df, tile_rows=tile).select("vec_id", "n_links", "component_id", "kept")
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
-def test_bound_drops_no_pair():
+def test_bound_drops_no_pair(monkeypatch):
+    monkeypatch.setattr(ed, "PAIRS", 100)
     rng = np.random.default_rng(4)
     a, b = (ed._unit(rng.normal(size=(200, 24)) * np.linspace(4, 0.1, 24)) for _ in range(2))
     for t in (0.98, 0.7, 0.1):
