@@ -8,7 +8,9 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +18,23 @@ from punctual.llm.common import extended, fresh, slices, utf8
 
 LEAF = 256  # symbols of an unsplit text that are encoded at once
 WINDOW = 8  # tokens on each side of a join to begin with
-KNOWN = 200_000  # words a worker remembers
+KNOWN = 150_000  # items a worker remembers, and as many older ones
 KNOWN_CHARS = 64  # longer ones aren't remembered
 SLICE_BYTES = 4 << 20
 
 
+#: How the tokenizer splits lower-case ASCII text; each match is encoded alone.
+_ASCII = re.compile(rb"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-zA-Z0-9]+")
+
+
 class Codec:
     """One tokenizer file, for texts of any length.
 
-    White space never is part of a token, so words between blanks are encoded alone and
-    remembered. What the pre-tokenizer leaves unsplit and is longer than ``LEAF`` symbols
-    is cut into halves until they are short; leaves are encoded in one parallel batch and
-    joined from the bottom up.
+    White space never is part of a token, so what stands between blanks can be encoded
+    alone; in ASCII text so can each piece of the pre-tokenizer. Items are encoded once for
+    all texts of a call, and frequent ones are remembered from call to call. What the
+    pre-tokenizer leaves unsplit and is longer than ``LEAF`` symbols is cut into halves
+    until they are short; leaves are encoded alone and joined from the bottom up.
     """
 
     def __init__(self, path: str):
@@ -46,29 +53,83 @@ class Codec:
         self.suffix = suffix or ""
         special = [t["content"] for t in config.get("added_tokens", [])]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.known: dict[bytes, list[int]] = {}
+        self.marks = [x.encode() for x in special]
+        size = self.whole.get_vocab_size()
+        self.tokens = [self.whole.id_to_token(i) or "" for i in range(size)]
+        self.ends = np.array([bool(suffix) and t.endswith(suffix) for t in self.tokens])
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _items(self, text: bytes | None) -> list[bytes]:
+        text = text or b""
+        if not text.isascii() or any(m in text for m in self.marks):
+            return text.split()
+        return _ASCII.findall(text.lower())
+
+    def encode_all(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has."""
+        lists = list(map(self._items, texts))
+        items = [x for part in lists for x in part]
+        number = {x: i for i, x in enumerate(dict.fromkeys(items))}
+        found = self._encoded(list(number))
+        flat = np.frombuffer(b"".join(found), np.int32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        which = np.fromiter(map(number.__getitem__, items), np.int64, len(items))
+        counts = sizes[which]
+        ends = np.cumsum(counts)
+        at = np.arange(int(ends[-1]) if len(ends) else 0)
+        at += np.repeat(starts[which] - (ends - counts), counts)
+        ends = np.append(0, ends)
+        bounds = np.cumsum([0, *map(len, lists)])
+        return flat[at], np.diff(ends[bounds])
 
     def encode(self, text: bytes | None) -> list[int]:
-        parts = (text or b"").split()
-        known = self.known
-        try:
-            return [i for p in parts for i in known[p]]
-        except KeyError:
-            pass
-        new = [p for p in dict.fromkeys(parts) if p not in known]
-        if len(known) + len(new) > KNOWN:
-            known.clear()
-            new = list(dict.fromkeys(parts))
-        short = [p for p in new if len(p) <= LEAF]
-        ids = self.whole.encode_batch_fast([p.decode() for p in short], add_special_tokens=False)
-        found = dict(zip(short, (e.ids for e in ids), strict=True))
-        for p in new:
-            if len(p) > LEAF:
-                found[p] = self._long(p.decode())
-        out = [i for p in parts for i in (found[p] if p in found else known[p])]
-        known.update((p, i) for p, i in found.items() if len(p) <= KNOWN_CHARS)
+        return self.encode_all([text])[0].tolist()
+
+    def _encoded(self, items: list[bytes]) -> list[bytes]:
+        """The ids of each item as bytes; new ones are encoded, and remembered if short."""
+        known, older, new = self.known, self.older, {}
+        for x in items:
+            if x not in known:
+                new[x] = older.get(x)
+        todo = [x for x, ids in new.items() if ids is None]
+        single = [x for x in todo if len(x) <= LEAF and x.isascii() and _ASCII.fullmatch(x)]
+        if single and self.suffix:
+            # each is one word, whose last token has the mark
+            text = b" ".join(single).decode()
+            ids = self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            ids = np.array(ids, np.int32)
+            bounds = np.flatnonzero(self.ends[ids]) + 1
+            parts = np.split(ids, bounds[:-1])
+            new.update((x, i.tobytes()) for x, i in zip(single, parts, strict=True))
+        rest = [x for x in todo if new[x] is None]
+        short = [x for x in rest if len(x) <= LEAF]
+        done = self.whole.encode_batch_fast([x.decode() for x in short], add_special_tokens=False)
+        new.update((x, np.array(e.ids, np.int32).tobytes()) for x, e in zip(short, done, strict=True))
+        for x in rest:
+            if len(x) > LEAF:
+                new[x] = np.array(self._long(x.decode()), np.int32).tobytes()
+        out = [new[x] if x in new else known[x] for x in items]
+        known.update((x, ids) for x, ids in new.items() if len(x) <= KNOWN_CHARS)
+        if len(known) > KNOWN:
+            # what is asked for again comes back from the older half
+            self.known, self.older = {}, known
         return out
 
+    def decode_all(self, ids: pa.ListArray) -> list | pa.Array:
+        """The texts of lists of ids, special tokens included; empty for null."""
+        if self.whole.decoder is None:
+            # without a decoder, tokens are joined with blanks
+            parts = pa.array(self.tokens, pa.string()).take(ids.flatten())
+            counts = pc.fill_null(pc.list_value_length(ids), 0)
+            offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
+            return pc.binary_join(pa.ListArray.from_arrays(offsets, parts), " ")
+        return pa.array(
+            [self.whole.decode(x or [], skip_special_tokens=False) for x in ids.to_pylist()],
+            pa.string(),
+        )
+
     def _long(self, word: str) -> list[int]:
         """A run without blanks: special tokens apart, the rest by its unsplit texts."""
         out: list[int] = []
@@ -165,19 +226,16 @@ def _encode(batches: Iterator[pa.RecordBatch], at: int, path: str, name: str):
     for batch in batches:
         sizes = [len(t or b"") for t in utf8(batch.column(at))]
         for part in slices(batch, sizes, SLICE_BYTES):
-            ids = pa.array(map(codec(path).encode, utf8(part.column(at))), pa.list_(pa.int32()))
-            yield _with(part, ids, name)
+            ids, counts = codec(path).encode_all(utf8(part.column(at)))
+            offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
+            yield _with(part, pa.ListArray.from_arrays(offsets, pa.array(ids)), name)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], at: int, path: str, name: str):
     for batch in batches:
-        sizes = [4 * len(x) for x in (x.as_py() or [] for x in batch.column(at))]
-        for part in slices(batch, sizes, SLICE_BYTES):
-            texts = [
-                "" if ids is None else codec(path).whole.decode(ids, skip_special_tokens=False)
-                for ids in part.column(at).to_pylist()
-            ]
-            yield _with(part, pa.array(texts, pa.string()), name)
+        counts = pc.fill_null(pc.list_value_length(batch.column(at)), 0)
+        for part in slices(batch, (4 * counts.to_numpy()).tolist(), SLICE_BYTES):
+            yield _with(part, codec(path).decode_all(part.column(at)), name)
 
 
 def _with(batch: pa.RecordBatch, column: pa.Array, name: str) -> pa.RecordBatch:

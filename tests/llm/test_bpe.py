@@ -27,6 +27,8 @@ TEXTS = [
     "x" * 5000,
     "ab" * 3000 + "<|endoftext|>" + "q" * 700 + "1" * 900 + "!?" * 500,
     "the" * 2000 + "'s" + "É" * 1500,
+    "-'tis ''sx 'LL don't've x'd'm --'re 9'9 <| endoftext|> a'b\x00c\x7fd",
+    "a\x1cb\x1dc\x1ed\x1fe plain ascii",
 ]
 
 
@@ -60,7 +62,7 @@ def test_remembered_words_are_bounded(library, monkeypatch):
     for i in range(20):
         text = " ".join(f"w{i * j}" for j in range(40))
         assert coder.encode(text.encode()) == library.encode(text, add_special_tokens=False).ids
-        assert len(coder.known) <= 50
+        assert len(coder.known) <= 50 and len(coder.older) <= 50 + 40
 
 
 def test_query_with_nulls_and_clashing_columns(spark, library):
