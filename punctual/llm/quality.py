@@ -171,27 +171,47 @@ def fit(
     return model
 
 
-def _labelled_features(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        texts = utf8(batch.column(2))
-        for part in slices(batch, [len(t or b"") for t in texts], SLICE_BYTES):
-            blobs = [f.tobytes() for f in features(utf8(part.column(2)))]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(blobs, pa.binary())],
-                ["rank", "label", "features"],
-            )
-
+_LEARNED = "f bigint, pos bigint, neg bigint, rank bigint, label int, features binary"
+
+
+def _learned(batches: Iterator[pa.RecordBatch], limit: int):
+    """Counts of n-grams per class, with those of documents at -1, and the sampled rows."""
+    names = [part.split()[0] for part in _LEARNED.split(", ")]
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+
+    def rows(**columns):
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(columns[name], kind) if name in columns else pa.nulls(n, kind)
+                for name, kind in zip(names, kinds, strict=True)
+            ],
+            names,
+        )
 
-def _count(batches: Iterator[pa.RecordBatch]):
     counts = np.zeros((2, 1 << BITS), np.int64)
+    documents = np.zeros(2, np.int64)
     for batch in batches:
-        for label, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            counts[label][np.frombuffer(blob, np.int32)] += 1
-    seen = np.flatnonzero(counts.any(axis=0))
-    for at in range(0, len(seen), 1 << 16):
-        f = seen[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (f, counts[1][f], counts[0][f])], ["f", "pos", "neg"]
+        sizes = [len(t or b"") for t in utf8(batch.column(2))]
+        for part in slices(batch, sizes, SLICE_BYTES):
+            ranks, labels = part.column(0).to_pylist(), part.column(1).to_pylist()
+            found = features(utf8(part.column(2)))
+            for label, f in zip(labels, found, strict=True):
+                counts[label][f] += 1
+                documents[label] += 1
+            picked = [k for k, rank in enumerate(ranks) if rank < limit]
+            if picked:
+                yield rows(
+                    rank=[ranks[k] for k in picked],
+                    label=[labels[k] for k in picked],
+                    features=[found[k].tobytes() for k in picked],
+                )
+    if documents.any():
+        seen = np.flatnonzero(counts.any(axis=0))
+        yield rows(
+            f=np.append(seen, -1),
+            pos=np.append(counts[1][seen], documents[1]),
+            neg=np.append(counts[0][seen], documents[0]),
         )
 
 
@@ -209,8 +229,9 @@ def learn(
     The classes' n-gram counts cover all labelled documents. The linear model and the scale
     of its scores are fitted on at most ``sample_docs`` of them, those of the smallest hash
     of the id, so that it doesn't depend on partitions. The driver holds that sample's
-    n-gram numbers and one count per number and class. Rows with a null label or id are
-    left out; a label other than 0 counts as 1.
+    n-gram numbers and one count per number and class. Texts are shuffled once, to their
+    labels, whatever the sizes: neither side is bounded, so none is broadcast. Rows with a
+    null label or id are left out; a label other than 0 counts as 1.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), (F.col(label_col) != 0).cast("int").alias("label")
@@ -218,33 +239,32 @@ def learn(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         fold("id", folds) != 0
     )
-    rows = cut(
-        texts.join(known, "id")
+    share = 1.2 * sample_docs / max(1, known.count())
+    limit = min(int(share * 2.0**64) - 2**63, 2**63 - 1)
+    learned = cut(
+        texts.join(known.hint("merge"), "id")
         .select(F.xxhash64("id").alias("rank"), "label", "text")
-        .mapInArrow(_labelled_features, "rank bigint, label int, features binary"),
-        "labelled",
+        .mapInArrow(partial(_learned, limit=limit), _LEARNED),
+        "learned",
     )
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    if len(sizes) < 2:
-        return None
-    counts = np.zeros((2, 1 << BITS), np.int64)
+    counts = np.zeros((2, (1 << BITS) + 1), np.int64)  # documents come last
     summed = (
-        rows.select("label", "features")
-        .mapInArrow(_count, "f bigint, pos bigint, neg bigint")
+        learned.where("f IS NOT NULL")
         .groupBy("f")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         .toArrow()
     )
     f = summed["f"].to_numpy()
     counts[1][f], counts[0][f] = summed["pos"].to_numpy(), summed["neg"].to_numpy()
-    share = sample_docs / sum(sizes.values())
-    limit = int(min(1.0, 1.2 * share) * 2.0**64) - 2**63
-    sample = rows.where(F.col("rank") < min(limit, 2**63 - 1)).orderBy("rank", "label", "features")
-    got = sample.limit(sample_docs).collect()
+    if not counts[:, -1].all():
+        return None
+    order = ["rank", "label", "features"]
+    sample = learned.where("rank IS NOT NULL").select(*order).orderBy(*order).limit(sample_docs)
+    got = sample.toArrow()
     return fit(
-        (counts[1], counts[0]),
-        [np.frombuffer(r["features"], np.int32) for r in got],
-        np.array([r["label"] for r in got]),
+        (counts[1][:-1], counts[0][:-1]),
+        [np.frombuffer(blob.as_buffer(), np.int32) for blob in got["features"]],
+        got["label"].to_numpy(),
     )
 
 
