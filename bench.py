@@ -51,7 +51,7 @@ def main() -> None:
     queries = {
         "build_marts": lambda: marts.build_marts(rebuilt, raw),
         "write_layout": lambda: write_partitioned(rebuilt) and None,
-        "fact": lambda: marts.staged_fact(raw),
+        "fact": lambda: marts.staged_fact(raw, marts.hot_orders(raw)),
         "dim_seller": lambda: marts.dim_seller(fact),
         "headline": lambda: reports.headline(fact),
         "mart_checks": lambda: gates.mart_checks(fact, dim),

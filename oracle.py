@@ -7,7 +7,41 @@ decimal rules enter the expected values.
 
 from __future__ import annotations
 
-from punctual.plans.gates import BI_CHECKS, MART_CHECKS
+import re
+
+# Names and texts of the checks, as the reports print them.
+MART_CHECKS = {
+    "fct_is_empty": "the fact table holds at least one row",
+    "fct_duplicate_order_id": "each order_id occurs once in the fact",
+    "fct_null_key": "order_id, seller_id and order_date are always set",
+    "order_month_mismatch": "order_month is the year and month of order_date",
+    "fct_orphan_seller": "each seller of the fact is in dim_seller",
+    "negative_money": "order value and freight are not below zero",
+    "delivered_before_purchase": "no delivery precedes its purchase",
+    "null_late_flag": "lateness is known for every delivered order",
+    "implausible_delivery_days": "delivery took between 0 and 365 days",
+    "dim_duplicate_seller": "each seller_id occurs once in dim_seller",
+    "on_time_rate_out_of_range": "the seller's on-time rate lies in 0 to 1",
+    "dim_order_count_mismatch": "the sellers' order counts add up to the fact",
+}
+BI_CHECKS = {
+    "opt_row_count_mismatch": "the partitioned copy has as many rows as the fact",
+    "opt_on_time_rate_drift": "the on-time rate is the same in both layouts",
+    "bi_orders_row_mismatch": "the order view neither drops nor repeats an order",
+    "bi_monthly_order_mismatch": "the months' order counts add up to the fact",
+    "bi_state_order_mismatch": "the states' order counts add up to the fact",
+    "bi_month_start_mismatch": "month_start leads back to its order_month",
+    "bi_region_code_malformed": "region codes read BR- and two capital letters",
+    "bi_on_time_rate_out_of_range": "rates per month and state lie in 0 to 1",
+    "on_time_pct_scale_drift": "the percentage is 100 times the rate, per month and state",
+    "leaderboard_on_time_pct_drift": "the percentage is 100 times the rate, per seller",
+    "orders_on_time_pct_mismatch": "the percentage is 100 times the flag, per order",
+    "state_name_missing": "each order has a state name and a region",
+    "ref_state_count": "the reference holds the expected number of states",
+    "calendar_misses_order_dates": "each order date is a calendar day",
+    "calendar_has_gaps": "the calendar has every day once",
+    "leaderboard_below_floor": "no seller under the order floor is ranked",
+}
 
 STATE = "chr(CAST(65 + {0} // 5 AS INTEGER)) || chr(CAST(65 + {0} % 5 AS INTEGER))"
 MONTH = "CAST(year({0}) * 100 + month({0}) AS BIGINT)"
@@ -146,6 +180,38 @@ STATE_RANKING = """SELECT customer_state_name, count(*) AS delivered_orders,
   CAST(sum(on_time_flag) AS DOUBLE) / count(*) AS on_time_rate
   FROM bi_orders GROUP BY customer_state_name"""
 
+WHOLE_TREND = TREND.replace("WHERE customer_state = 'AD' ", "")
+
+TOP_SELLERS = """SELECT l.seller_id, l.seller_state, s.delivered_orders, s.on_time_rate,
+  s.avg_delivery_days
+  FROM leaderboard l JOIN (
+    SELECT seller_id, count(*) AS delivered_orders,
+           CAST(sum(on_time_flag) AS DOUBLE) / count(*) AS on_time_rate,
+           CAST(sum(delivery_days) AS DOUBLE) / count(*) AS avg_delivery_days
+    FROM bi_orders GROUP BY seller_id) s USING (seller_id)"""
+
+BENCH_Q1 = f"""SELECT seller_state, {half_up('sum(late_days)', 'count(*)', 2)}
+  AS avg_late_days, count(*) AS orders FROM fact
+  WHERE order_month BETWEEN 199801 AND 199803 GROUP BY seller_state"""
+
+BENCH_Q2 = f"""SELECT order_month, count(*) AS orders,
+  {half_up('sum(freight_value)', 'count(*) * 10000', 2)} AS avg_freight
+  FROM fact WHERE seller_state = 'AD' GROUP BY order_month"""
+
+BUSIEST = f"""SELECT seller_id, count(*) AS orders,
+  {half_up('sum(delivery_days)', 'count(*)', 2)} AS avg_delivery_days FROM fact
+  WHERE order_month BETWEEN 199801 AND 199806 GROUP BY seller_id"""
+
+
+def placed(sql: str, order: str, limit: int | None = None) -> str:
+    """A query with the place of each row in an order."""
+    first = f" WHERE place <= {limit}" if limit else ""
+    return (
+        f"SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS place"
+        f" FROM ({sql})){first}"
+    )
+
+
 SLICE = "order_date BETWEEN DATE '1997-01-15' AND DATE '1998-06-30'"
 
 MART_RULES = {
@@ -169,16 +235,19 @@ MART_RULES = {
     " = (SELECT count(*) FROM fact) THEN 0 ELSE 1 END",
 }
 
-# The copy is the fact itself here: SQL has no second layout to compare.
+ON_TIME = "(SELECT avg(CASE WHEN is_late THEN 0.0 ELSE 1.0 END) FROM {0})"
+
 BI_RULES = {
-    "opt_row_count_mismatch": "SELECT 0",
-    "opt_on_time_rate_drift": "SELECT 0",
-    "bi_orders_row_mismatch": "SELECT CASE WHEN (SELECT count(*) FROM bi_orders)"
+    "opt_row_count_mismatch": "SELECT CASE WHEN (SELECT count(*) FROM opt)"
     " = (SELECT count(*) FROM fact) THEN 0 ELSE 1 END",
+    "opt_on_time_rate_drift": f"SELECT CASE WHEN abs({ON_TIME.format('fact')}"
+    f" - {ON_TIME.format('opt')}) > 0.00005 THEN 1 ELSE 0 END",
+    "bi_orders_row_mismatch": "SELECT CASE WHEN (SELECT count(*) FROM bi_orders)"
+    " = (SELECT count(*) FROM opt) THEN 0 ELSE 1 END",
     "bi_monthly_order_mismatch": "SELECT CASE WHEN (SELECT sum(orders) FROM monthly)"
-    " = (SELECT count(*) FROM fact) THEN 0 ELSE 1 END",
+    " = (SELECT count(*) FROM opt) THEN 0 ELSE 1 END",
     "bi_state_order_mismatch": "SELECT CASE WHEN (SELECT sum(orders) FROM by_state)"
-    " = (SELECT count(*) FROM fact) THEN 0 ELSE 1 END",
+    " = (SELECT count(*) FROM opt) THEN 0 ELSE 1 END",
     "bi_month_start_mismatch": "SELECT count(*) FROM monthly WHERE month_start IS NULL"
     " OR strftime(month_start, '%Y%m') <> CAST(order_month AS VARCHAR)",
     "bi_region_code_malformed": "SELECT count(*) FROM by_state"
@@ -205,6 +274,59 @@ BI_RULES = {
 }
 
 
+DAMAGED_MARTS = """, bad_fact AS (
+  SELECT * REPLACE (
+    CASE WHEN order_id % 13 <> 0 THEN order_date END AS order_date,
+    CASE WHEN order_id % 17 = 0 THEN order_month + 1 ELSE order_month END AS order_month,
+    CASE WHEN order_id % 19 = 0 THEN -order_value ELSE order_value END AS order_value,
+    CASE WHEN order_id % 23 <> 0 THEN delivered_date
+         WHEN order_id % 13 <> 0 THEN order_date - 1 END AS delivered_date,
+    CASE WHEN order_id % 29 <> 0 THEN is_late END AS is_late,
+    CASE WHEN order_id % 31 = 0 THEN delivery_days + 400 ELSE delivery_days END
+      AS delivery_days)
+  FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE order_id % 11 = 0)),
+bad_dim AS (
+  SELECT * REPLACE (on_time_rate + CASE WHEN seller_id % 3 = 0 THEN 1 ELSE 0 END AS on_time_rate)
+  FROM (SELECT * FROM dim UNION ALL SELECT * FROM dim WHERE seller_id % 7 = 0)
+  WHERE seller_id % 5 <> 0),
+no_fact AS (SELECT * FROM fact WHERE order_id IS NULL) """
+
+DAMAGED_LAYER = """, bad_opt AS (
+  SELECT * FROM fact WHERE NOT (coalesce(is_late, false) AND order_id % 2 = 0)),
+bad_bi_orders AS (
+  SELECT * REPLACE (
+    on_time_pct + CASE WHEN order_id % 47 = 0 THEN 1 ELSE 0 END AS on_time_pct,
+    CASE WHEN customer_state <> 'AD' THEN customer_region END AS customer_region)
+  FROM bi_orders WHERE order_id % 43 <> 0),
+bad_monthly AS (
+  SELECT * REPLACE (
+    orders + CASE WHEN order_month % 2 = 0 THEN 1 ELSE 0 END AS orders,
+    CASE WHEN order_month % 3 = 0 THEN CAST(month_start + INTERVAL 1 MONTH AS DATE)
+         ELSE month_start END AS month_start,
+    on_time_rate + CASE WHEN order_month % 5 = 0 THEN 1 ELSE 0 END AS on_time_rate)
+  FROM monthly),
+bad_by_state AS (
+  SELECT * REPLACE (
+    CASE WHEN customer_state > 'C' THEN lower(customer_region_code)
+         ELSE customer_region_code END AS customer_region_code)
+  FROM by_state WHERE customer_state <> 'AD'),
+bad_leaderboard AS (
+  SELECT * REPLACE (
+    on_time_pct + CASE WHEN seller_id % 3 = 0 THEN 1 ELSE 0 END AS on_time_pct,
+    delivered_orders - CASE WHEN seller_id % 4 = 0 THEN 1000 ELSE 0 END AS delivered_orders)
+  FROM leaderboard),
+bad_calendar AS (SELECT * FROM calendar WHERE day(date) <> 15),
+bad_states AS (SELECT * FROM states WHERE code <> 'AA') """
+
+
+def renamed(rules: dict[str, str], names: dict[str, str]) -> dict[str, str]:
+    """The rules over other relations."""
+    return {
+        check: re.sub(rf"\b({'|'.join(names)})\b", lambda m: names[m[0]], sql)
+        for check, sql in rules.items()
+    }
+
+
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -255,11 +377,23 @@ REBUILT_OBJECTS = {
     "vw_bi_by_state": f"({BY_STATE})",
     **EXTRACT_OBJECTS,
 }
+PUBLISHED_OBJECTS = {
+    "orders": "orders",
+    "order_items": "lineitem",
+    "customers": "customer",
+    "sellers": "supplier",
+    "stg_orders": "stg_orders",
+    "stg_order_items": "stg_order_items",
+    **REBUILT_OBJECTS,
+}
 
 
 def queries() -> dict[str, str]:
     clean, dirty = common(), common(dirty=True)
-    bi = f"{clean}, monthly AS ({MONTHLY}), by_state AS ({BY_STATE}) "
+    bi = f"{clean}, monthly AS ({MONTHLY}), by_state AS ({BY_STATE}), opt AS (SELECT * FROM fact) "
+    layer = ("opt", "bi_orders", "monthly", "by_state", "leaderboard", "calendar", "states")
+    damaged_marts = renamed(MART_RULES, {"fact": "bad_fact", "dim": "bad_dim"})
+    damaged_layer = renamed(BI_RULES, {name: f"bad_{name}" for name in layer})
     items = f"{money('order_value')} AS order_value, {money('freight_value', 4)} AS freight_value"
     on_clean = {
         "stg_orders": "SELECT * FROM stg_orders",
@@ -325,16 +459,33 @@ def queries() -> dict[str, str]:
             FROM bi_orders o LEFT JOIN leaderboard l ON l.seller_id = o.seller_id GROUP BY 1""",
         "sliced_measures": f"""SELECT {MEASURES} FROM bi_orders
             WHERE {SLICE} AND customer_region = 'ASIA'""",
-        "bench_q1": f"""SELECT seller_state, {half_up('sum(late_days)', 'count(*)', 2)}
-            AS avg_late_days, count(*) AS orders FROM fact
-            WHERE order_month BETWEEN 199801 AND 199803 GROUP BY seller_state""",
-        "bench_q2": f"""SELECT order_month, count(*) AS orders,
-            {half_up('sum(freight_value)', 'count(*) * 10000', 2)} AS avg_freight
-            FROM fact WHERE seller_state = 'AD' GROUP BY order_month""",
+        "bench_q1": BENCH_Q1,
+        "bench_q2": BENCH_Q2,
         "bench_q3": f"""SELECT seller_id, count(*) AS orders,
             {half_up('sum(delivery_days)', 'count(*)', 2)} AS avg_delivery_days FROM fact
             WHERE order_month BETWEEN 199801 AND 199806 AND seller_state = 'AD'
             GROUP BY seller_id ORDER BY orders DESC, seller_id LIMIT 10""",
+        "layout_rows": """SELECT query, layout, CAST(count(*) FILTER (
+              layout = 'base' OR first IS NULL OR order_month BETWEEN first AND last) AS BIGINT)
+              AS rows
+            FROM fact, (VALUES ('q1_quarter_by_state', 199801, 199803),
+              ('q2_one_state_all_time', NULL, NULL),
+              ('q3_state_and_range', 199801, 199806)) AS q(query, first, last),
+              (VALUES ('base'), ('opt')) AS l(layout) GROUP BY query, layout""",
+        "catalog_views": object_counts(PUBLISHED_OBJECTS),
+        "inline_state_orders": """SELECT code, 'state ' || code AS name, code[1] AS region,
+            (SELECT count(*) FROM customers WHERE customer_state = code) AS customers
+            FROM (SELECT chr(CAST(65 + n // 5 AS INTEGER)) || chr(CAST(65 + n % 5 AS INTEGER))
+                    AS code FROM range(25) r(n))""",
+        "monthly_trend": WHOLE_TREND,
+        "top_sellers_all": TOP_SELLERS + " ORDER BY s.delivered_orders DESC, l.seller_id LIMIT 10",
+        "busiest_sellers": f"{BUSIEST} ORDER BY orders DESC, seller_id LIMIT 10",
+        "ordered_busiest_sellers": placed(BUSIEST, "orders DESC, seller_id", 10),
+        "ordered_top_sellers": placed(TOP_SELLERS, "delivered_orders DESC, seller_id", 10),
+        "ordered_state_ranking": placed(STATE_RANKING, "on_time_rate, customer_state_name"),
+        "ordered_trend": placed(WHOLE_TREND, "order_month"),
+        "ordered_bench_q1": placed(BENCH_Q1, "orders DESC, seller_state"),
+        "ordered_bench_q2": placed(BENCH_Q2, "order_month"),
         "rebuild_twice": object_counts(REBUILT_OBJECTS, ", true AS identical"),
         "bi_extract": object_counts(EXTRACT_OBJECTS),
     }
@@ -343,10 +494,17 @@ def queries() -> dict[str, str]:
         **{name: clean + sql for name, sql in on_clean.items()},
         "bi_checks": bi + check_report(BI_RULES, BI_CHECKS),
         "dirty_mart_checks": dirty + bad_rows,
+        "damaged_mart_checks": clean + DAMAGED_MARTS + check_report(damaged_marts, MART_CHECKS),
+        "empty_mart_checks": clean
+        + DAMAGED_MARTS
+        + check_report(renamed(MART_RULES, {"fact": "no_fact"}), MART_CHECKS),
+        "damaged_bi_checks": bi + DAMAGED_LAYER + check_report(damaged_layer, BI_CHECKS),
         "gate_total": f"{dirty} SELECT {n('coalesce(sum(bad_rows), 0)')} AS bad_rows"
         f" FROM ({bad_rows})",
         "csv_load_roundtrip": raw_counts(", true AS same_rows"),
         "row_count_report": raw_counts(),
+        "ordered_row_counts": placed(raw_counts(), "table_name"),
+        "ordered_dirty_checks": dirty + placed(bad_rows, "bad_rows DESC, check_name"),
         "safe_cast_probe": f"""SELECT o_orderkey,
             TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority
               ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP) AS ts,

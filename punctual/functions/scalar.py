@@ -13,23 +13,39 @@ from punctual.contracts import NUMERIC
 
 # A full date, optionally a full time of day, optionally a zone. Spark alone would also
 # read '2017', '2017-10' and 'today', which must come out as NULL.
-_TIMESTAMP_TEXT = (
+TIMESTAMP_TEXT = (
     r"^\d{4}-\d{1,2}-\d{1,2}"
     r"([ Tt]\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?(\s*([Zz]|[+-]\d.*|[A-Za-z].*))?)?\z"
 )
 
+ZONED_TEXT = (
+    r"^\d{4}-\d{1,2}-\d{1,2}[ Tt]\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?"
+    r"\s*([Zz]|[+-]\d.*|[A-Za-z].*)\z"
+)
+
 
 def safe_timestamp(df: DataFrame, name: str) -> Column:
     """``name`` as a UTC wall-clock timestamp; values that are none become NULL.
 
-    The result has no zone, so the date taken from it never depends on the session.
+    The result has no zone, so the date taken from it never depends on the session. Text
+    without a zone is taken as it is; text with one, and instants, are converted to UTC.
     """
     column, kind = F.col(name), df.schema[name].dataType
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+    if isinstance(kind, T.TimestampType):
+        return _utc(column)
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
         return column.cast("timestamp_ntz")
     text = column.cast("string")
-    parsed = text.try_cast("timestamp").cast("timestamp_ntz")
-    return F.when(text.rlike(_TIMESTAMP_TEXT), parsed)
+    return F.when(text.rlike(ZONED_TEXT), _utc(text.try_cast("timestamp"))).when(
+        text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp_ntz")
+    )
+
+
+def _utc(instant: Column) -> Column:
+    """The wall clock in UTC at an instant: the time since 1970, added to 1970."""
+    seconds = F.unix_micros(instant).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    since = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.lit("1970-01-01").cast("timestamp_ntz") + since
 
 
 def safe_numeric(name: str) -> Column:

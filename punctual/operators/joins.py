@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRACKED_KEYS = 100
 AQE_FACTOR = 5  # a key is hot where it outweighs this many average shuffle partitions
 HOT_ROWS = 1_000_000
+SKETCH_ITEMS = 8  # items a sketch tracks for each key that can be hot
 
 
 def heavy_keys(key: str, *frames: DataFrame, min_rows: int = HOT_ROWS) -> list:
     """The values of ``key`` that would each overload a shuffle partition of a frame.
 
-    At most 100 per frame. One pass over the key columns with a bounded sketch: only
-    sketches are shuffled, only one row per frame is collected. The answer steers the
-    plan and never the result, so an estimate is enough.
+    A job of its own: one pass over the key columns with a bounded sketch; only sketches
+    are shuffled, only one row per frame is collected. A key of more than ``AQE_FACTOR``
+    average partitions can occur ``partitions / AQE_FACTOR`` times at most, and that is how
+    many the sketch is asked for, so no hot key is left out for want of room. The answer
+    steers the plan and never the result, so an estimate is enough.
     """
     partitions = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = math.ceil(partitions / AQE_FACTOR) + 1
+    tracked = max(10_000, SKETCH_ITEMS * most)
     found = reduce(
         DataFrame.unionByName,
         (
             df.where(F.col(key).isNotNull()).agg(
                 F.count(F.lit(1)).alias("rows"),
-                F.expr(f"approx_top_k({key}, {TRACKED_KEYS})").alias("top"),
+                F.expr(f"approx_top_k({key}, {most}, {tracked})").alias("top"),
             )
             for df in frames
         ),
@@ -46,15 +51,18 @@ def join_rollup(
     """Inner join of ``rows`` with a rollup that has one row per ``key``.
 
     ``cold`` and ``spread`` are the same rollup, computed two ways: the first brings
-    all rows of a key to one task, the second combines them before any shuffle. Hot
-    keys go the second way and are joined by broadcast: one row per hot key, so that
-    side is bounded by the number of hot keys. Every row takes exactly one way.
+    all rows of a key to one task, the second combines them before any shuffle. ``hot``
+    keys go the second way and are joined by broadcast, one row per hot key; there are
+    fewer of them than shuffle partitions (see ``heavy_keys``). Every row takes exactly
+    one way.
     """
     if not hot:
         return rows.join(cold, key)
-    is_hot = F.col(key).isin(hot)
+    kind = rows.schema[key].dataType.simpleString()
+    keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], f"{key} {kind}"))
+    few = spread.join(keys, key, "left_semi")
     return (
-        rows.where(~is_hot)
-        .join(cold.where(~is_hot), key)
-        .unionByName(rows.where(is_hot).join(F.broadcast(spread.where(is_hot)), key))
+        rows.join(keys, key, "left_anti")
+        .join(cold.join(keys, key, "left_anti"), key)
+        .unionByName(rows.join(keys, key, "left_semi").join(F.broadcast(few), key))
     )

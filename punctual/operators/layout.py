@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 
 from punctual.contracts import CLUSTER_KEYS, FACT, FACT_OPT, PARTITION_KEY
+from punctual.session import MAX_SHUFFLE_PARTITIONS
 from punctual.sources.warehouse import Warehouse
 
 FILE_BYTES = 128 * 1024 * 1024
@@ -22,14 +23,28 @@ def write_partitioned(
     filter on the state skips files and row groups. The order id comes last only to make
     the range key divisible: a seller or month with a third of all rows still spreads
     over many tasks. A task writes ``file_bytes``, or down to a quarter of it where cores
-    would idle, plus one file for each month boundary in its range.
+    would idle, plus one file for each month boundary in its range. Beyond
+    ``MAX_SHUFFLE_PARTITIONS`` tasks a task writes several files instead, cut by their
+    number of rows, so that map tasks times reducers stays bounded.
     """
-    files = warehouse.size_bytes(source) / file_bytes
-    cores = warehouse.spark.sparkContext.defaultParallelism
-    tasks = max(1, math.ceil(files), min(cores, math.ceil(4 * files)))
+    table = warehouse.read(source)
+    tasks, records = plan_files(
+        warehouse.size_bytes(source),
+        table.count(),
+        file_bytes,
+        warehouse.spark.sparkContext.defaultParallelism,
+    )
     rows = (
-        warehouse.read(source)
+        table
         .repartitionByRange(tasks, PARTITION_KEY, *CLUSTER_KEYS, "order_id")
         .sortWithinPartitions(PARTITION_KEY, *CLUSTER_KEYS)
     )
-    return warehouse.replace(target, rows, (PARTITION_KEY,))
+    return warehouse.replace(target, rows, (PARTITION_KEY,), records)
+
+
+def plan_files(size: int, rows: int, file_bytes: int, cores: int) -> tuple[int, int]:
+    """How many tasks write a table of ``size`` bytes, and the rows of a file at most."""
+    files = size / file_bytes
+    tasks = max(1, math.ceil(files), min(cores, math.ceil(4 * files)))
+    records = math.ceil(rows / files) if files else 0
+    return min(tasks, MAX_SHUFFLE_PARTITIONS), max(1, records)

@@ -114,9 +114,12 @@ def bi_seller_leaderboard(dim: DataFrame, floor: int = LEADERBOARD_FLOOR) -> Dat
 def bi_calendar(opt: DataFrame) -> DataFrame:
     """One row per day, from the first day of the first month to the last of the last.
 
-    The bounds are one aggregate row; no orders means no days.
+    The months name the copy's folders: the first and the last are found without reading a
+    column, and dates are read in these two only. No orders means no days.
     """
-    bounds = opt.agg(
+    month = F.col("order_month")
+    ends = opt.agg(F.struct(F.min(month).alias("first"), F.max(month).alias("last"))).scalar()
+    bounds = opt.where((month == ends["first"]) | (month == ends["last"])).agg(
         F.trunc(F.min("order_date"), "MM").alias("first"),
         F.last_day(F.max("order_date")).alias("last"),
     )

@@ -15,6 +15,8 @@ from punctual.sources import history
 from punctual.sources.warehouse import Warehouse
 
 LAYOUTS = {"base": FACT, "opt": FACT_OPT}
+# properties of the jobs of a run
+RUN, QUERY, LAYOUT = "punctual.layout.run", "punctual.layout.query", "punctual.layout.layout"
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,7 @@ def state_and_range(fact: DataFrame, p: Params) -> DataFrame:
     )
 
 
+# The names of the three queries.
 QUERIES = {
     "q1_quarter_by_state": quarter_by_state,
     "q2_one_state_all_time": one_state_all_time,
@@ -75,9 +78,11 @@ _MONTHS = {"q1_quarter_by_state": "quarter", "q3_state_and_range": "half_year"}
 
 
 def planned(warehouse: Warehouse, p: Params) -> DataFrame:
-    """Files and bytes each query is bound to before it runs: partition pruning only.
+    """Files each query opens and their bytes, by partition pruning only.
 
-    The month range is applied where months are partitions. Other filters are left
+    That is neither a bound of what tasks read nor an estimate of it: they skip columns and
+    row groups, but read the end of a file, where its layout stands, once to plan and once
+    to read, which on files of some KB is most of it. The month range is applied where months are partitions. Other filters are left
     out, because they cannot exclude a file before it is opened. Files are listed, not
     read: the file source has one row per file, and its content is never asked for.
     """
@@ -98,39 +103,41 @@ def planned(warehouse: Warehouse, p: Params) -> DataFrame:
 
 
 def run(warehouse: Warehouse, p: Params, run_id: str) -> DataFrame:
-    """Run every query on both layouts, tagged in the job history, and log what it read.
+    """Run every query on both layouts and log what it took.
 
-    Results are tiny (a row per state, per month, or ten), so collecting them is bounded.
+    Each job carries run, query and layout as job properties, which the history keeps. A
+    last job without a query marks the end of the run. Results are tiny (a row per state,
+    per month, or ten), so collecting them is bounded.
     """
     context, log = warehouse.spark.sparkContext, []
-    for query, build in QUERIES.items():
-        for layout, name in LAYOUTS.items():
-            context.setJobDescription(f"-- {run_id} {query} {layout}")
-            begin = time.perf_counter()
-            build(warehouse.read(name), p).collect()
-            log.append((query, layout, time.perf_counter() - begin))
-    context.setJobDescription(f"-- {run_id} end")
-    warehouse.spark.range(1).count()
-    context.setJobDescription(None)
+    context.setLocalProperty(RUN, run_id)
+    try:
+        for query, build in QUERIES.items():
+            for layout, name in LAYOUTS.items():
+                context.setLocalProperty(QUERY, query)
+                context.setLocalProperty(LAYOUT, layout)
+                begin = time.perf_counter()
+                build(warehouse.read(name), p).collect()
+                log.append((query, layout, time.perf_counter() - begin))
+        for key in (QUERY, LAYOUT):
+            context.setLocalProperty(key, None)
+        warehouse.spark.range(1).count()
+    finally:
+        for key in (RUN, QUERY, LAYOUT):
+            context.setLocalProperty(key, None)
     return warehouse.spark.createDataFrame(log, "query string, layout string, seconds double")
 
 
-def tagged(jobs: DataFrame, run_id: str, hours: int = 2) -> DataFrame:
-    """Bytes and task time per query and layout, found again by the run's tag."""
-    mine = history.recent(
-        jobs.where("state = 'DONE'"),
-        "creation_time",
-        "description",
-        F.current_timestamp(),
-        hours,
-        f"-- {run_id} %",
-        "% end",
-    )
+def _property(name: str) -> Column:
+    return F.col("properties")[name]
+
+
+def measured_work(jobs: DataFrame, run_id: str) -> DataFrame:
+    """Bytes and task time per query and layout of a run, by its jobs' properties."""
     return (
-        mine.groupBy(
-            history.tag_part("description", f"-- {run_id} ([a-z0-9_]+) ").alias("query"),
-            history.tag_part("description", f"-- {run_id} [a-z0-9_]+ ([a-z]+)").alias("layout"),
-        )
+        jobs.where((F.col("state") == "DONE") & (_property(RUN) == run_id))
+        .where(_property(QUERY).isNotNull())
+        .groupBy(_property(QUERY).alias("query"), _property(LAYOUT).alias("layout"))
         .agg(
             F.sum("total_bytes_processed").alias("read_bytes"),
             F.sum("total_task_ms").alias("task_ms"),
@@ -139,24 +146,32 @@ def tagged(jobs: DataFrame, run_id: str, hours: int = 2) -> DataFrame:
 
 
 def _logged(spark: SparkSession, run_id: str, seconds: float = 30) -> DataFrame | None:
-    """The history once it holds the run's end; None where the session logs no events."""
-    path = history.event_log_path(spark)
-    if path is None:
+    """The history once it holds the run's end; None where the session logs no events.
+
+    The log is written behind the jobs. It is read anew after growing pauses; if the end
+    doesn't come, that is an error, not a result.
+    """
+    if not history.logs_events(spark):
         return None
-    deadline = time.monotonic() + seconds
-    while time.monotonic() < deadline:
-        jobs = history.job_history(spark, path)
-        if not jobs.where(f"state = 'DONE' and description = '-- {run_id} end'").isEmpty():
-            return jobs
-        time.sleep(0.2)
-    return None
+    ended = (F.col("state") == "DONE") & (_property(RUN) == run_id) & _property(QUERY).isNull()
+    deadline, pause = time.monotonic() + seconds, 0.2
+    while True:
+        path = history.event_log_path(spark)
+        if path is not None:
+            jobs = history.job_history(spark, path)
+            if not jobs.where(ended).isEmpty():
+                return jobs
+        if time.monotonic() >= deadline:
+            raise TimeoutError(f"the event log has no end of run {run_id} after {seconds} s")
+        time.sleep(pause)
+        pause = min(2 * pause, 5)
 
 
 def measure(warehouse: Warehouse, p: Params, run_id: str) -> DataFrame:
     """Planned and real bytes per query and layout.
 
     Real bytes are those the tasks read, from the event log. Where the session logs no
-    events only the plan's upper bound is known, and stands for both.
+    events nothing was measured, and ``real_bytes`` is NULL.
     """
     runs = run(warehouse, p, run_id)
     jobs = _logged(warehouse.spark, run_id)
@@ -164,14 +179,34 @@ def measure(warehouse: Warehouse, p: Params, run_id: str) -> DataFrame:
         unknown = F.lit(None).cast("bigint")
         real = runs.withColumns({"read_bytes": unknown, "task_ms": unknown})
     else:
-        real = runs.join(tagged(jobs, run_id), ["query", "layout"], "left")
+        real = runs.join(measured_work(jobs, run_id), ["query", "layout"], "left")
     return (
         planned(warehouse, p)
         .join(real, ["query", "layout"], "left")
-        .withColumn("real_bytes", F.coalesce("read_bytes", "planned_bytes"))
+        .withColumnRenamed("read_bytes", "real_bytes")
     )
 
 
+def surviving_rows(warehouse: Warehouse, p: Params) -> DataFrame:
+    """Rows in the partitions that pruning leaves, per query and layout.
+
+    The part of the comparison that follows from the data alone: files and bytes depend on
+    how they were written.
+    """
+    rows = []
+    for query in QUERIES:
+        for layout, name in LAYOUTS.items():
+            data = warehouse.read(name)
+            if layout == "opt" and query in _MONTHS:
+                data = data.where(F.col(PARTITION_KEY).between(*getattr(p, _MONTHS[query])))
+            rows.append(
+                data.agg(F.count(F.lit(1)).alias("rows")).select(
+                    F.lit(query).alias("query"), F.lit(layout).alias("layout"), "rows"
+                )
+            )
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _saved(measure: str) -> Column:
     """How many percent less the copy takes than the plain table."""
     base, opt = F.col(f"base_{measure}"), F.col(f"opt_{measure}")

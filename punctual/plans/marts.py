@@ -62,24 +62,24 @@ def fct_delivery_performance(
     staged_items: DataFrame,
     customers: DataFrame,
     sellers: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    hot_orders: list | None = None,
 ) -> DataFrame:
     """One row per delivered order, attributed to its primary seller.
 
     Customers join first, while order rows are narrow. The item rollup is already
     partitioned by order, so that join shuffles the order side only. No table is forced
     to broadcast: customers and sellers grow with the data, and the optimizer knows
-    their size; a hot customer or seller is split by adaptive execution.
+    their size; a hot customer or seller is split by adaptive execution. ``hot_orders``,
+    which a job finds beforehand, are rolled up apart.
     """
     delivered = delivered_orders(staged_orders)
-    hot = heavy_keys("order_id", staged_orders, staged_items, min_rows=hot_rows)
     orders = delivered.join(
         customers.select("customer_id", "customer_state"), "customer_id"
     ).drop("customer_id")
     by_order, spread = order_rollup_by_order(staged_items), order_rollup(staged_items)
     late_days = days_between(F.col("delivered_date"), F.col("estimated_date"))
     return (
-        join_rollup(orders, by_order, spread, "order_id", hot)
+        join_rollup(orders, by_order, spread, "order_id", hot_orders or [])
         .join(sellers.select("seller_id", "seller_state"), "seller_id")
         .withColumns(
             {
@@ -125,17 +125,22 @@ def dim_seller(fact: DataFrame) -> DataFrame:
     )
 
 
-def staged_fact(raw: dict[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_orders(raw: dict[str, DataFrame], hot_rows: int = HOT_ROWS) -> list:
+    """Orders that are too large for one task. This runs a job."""
+    return heavy_keys("order_id", raw["orders"], raw["order_items"], min_rows=hot_rows)
+
+
+def staged_fact(raw: dict[str, DataFrame], hot: list | None = None) -> DataFrame:
     return fct_delivery_performance(
         stg_orders(raw["orders"]),
         stg_order_items(raw["order_items"]),
         raw["customers"],
         raw["sellers"],
-        hot_rows,
+        hot,
     )
 
 
 def build_marts(warehouse: Warehouse, raw: dict[str, DataFrame]) -> None:
     """Replace the fact, then the dimension, which reads the written fact."""
-    fact = warehouse.replace(FACT, staged_fact(raw))
+    fact = warehouse.replace(FACT, staged_fact(raw, hot_orders(raw)))
     warehouse.replace(DIM_SELLER, dim_seller(fact))

@@ -56,13 +56,11 @@ def rebuild(
 ) -> dict[str, DataFrame]:
     """Rebuild everything from the CSV files. Running it twice leaves the same data.
 
-    All files are checked before the first table is dropped, so a missing one cannot
-    leave the warehouse half empty.
+    All files are checked, read and staged before the first table changes, so a missing or
+    malformed one leaves the warehouse as it was.
     """
     csv_load.preflight(spark, csv_load.source_paths(source_dir, naming))
     warehouse = Warehouse(spark, root)
-    for table in RAW_TABLES:
-        warehouse.drop(table)
     csv_load.load(warehouse, source_dir, naming)
     return build(warehouse, states, expected_states)
 

@@ -122,6 +122,19 @@ def monthly_trend(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
+def star_members(orders: DataFrame, calendar: DataFrame, leaderboard: DataFrame) -> DataFrame:
+    """Orders per calendar month and ranked seller state; the blank member included.
+
+    Orders are counted per day and seller before they meet their members.
+    """
+    per_link = orders.groupBy("order_date", "seller_id").agg(delivered_orders())
+    return (
+        star(per_link, calendar, leaderboard)
+        .groupBy("calendar_month_start", "ranked_seller_state")
+        .agg(F.sum(DELIVERED_ORDERS).alias(DELIVERED_ORDERS))
+    )
+
+
 def trend_above_floor(trend: DataFrame, floor: int) -> DataFrame:
     """The trend without months of too little volume to carry a rate."""
     return trend.where(F.col(DELIVERED_ORDERS) >= floor)

@@ -21,9 +21,11 @@ from punctual.operators.checks import gate_total
 from punctual.operators.layout import write_partitioned
 from punctual.operators.rollup import items_per_order, order_totals, primary_seller
 from punctual.plans import bi, gates, layout_bench, marts, reports
+from punctual.plans.catalog import publish
 from punctual.plans.rebuild import extract, rebuild
 from punctual.session import prepare, scratch_dir
 from punctual.sources import csv_load, files, fixture, history
+from punctual.sources.states import inline_states
 from punctual.sources.warehouse import Warehouse, contents, row_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,8 +34,13 @@ PARAMS = layout_bench.Params(fixture.QUARTER, fixture.HALF_YEAR, fixture.ONE_STA
 SLICE_FROM, SLICE_TO = datetime.date(1997, 1, 15), datetime.date(1998, 6, 30)
 SLICE_REGION = "ASIA"
 MONTH_FLOOR = 2
+PUBLISHED = (
+    *RAW_TABLES, FACT, DIM_SELLER, FACT_OPT, "stg_orders", "stg_order_items", "ref_br_state",
+    "vw_bi_orders", "vw_bi_monthly", "vw_bi_by_state", "vw_bi_seller_leaderboard",
+    "vw_bi_calendar",
+)
 
-_built: dict[tuple[str, str, bool], Warehouse] = {}
+_built: dict[tuple, Warehouse] = {}
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -53,8 +60,12 @@ def folder(spark: SparkSession, sf_dir: str, use: str) -> str:
 
 
 def built(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Warehouse:
-    """The written marts of ``sf_dir``, built on first use in this session."""
-    key = (spark.sparkContext.applicationId, sf_dir, dirty)
+    """The written marts of ``sf_dir``, built on first use in this session.
+
+    They are built anew when the input's files change.
+    """
+    inputs = tuple(files.fingerprint(spark, p) for p in fixture.paths(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, dirty, inputs)
     if key not in _built:
         warehouse = Warehouse(spark, folder(spark, sf_dir, "dirty" if dirty else "clean"))
         warehouse.ensure()
@@ -69,6 +80,11 @@ def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return bi.bi_views(built(spark, sf_dir), fixture.states(spark, sf_dir))
 
 
+def _raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fixture.raw_tables(spark, sf_dir)
+    return marts.staged_fact(raw, marts.hot_orders(raw))
+
+
 def _staged_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.stg_order_items(fixture.raw_order_items(spark, sf_dir))
 
@@ -177,7 +193,7 @@ def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fct_delivery_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.staged_fact(fixture.raw_tables(spark, sf_dir))
+    return _raw_fact(spark, sf_dir)
 
 
 def dim_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,6 +241,29 @@ def dirty_mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.warehouse_mart_checks(built(spark, sf_dir, dirty=True))
 
 
+def damaged_mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart gate on marts with a known number of defects of each kind."""
+    warehouse = built(spark, sf_dir)
+    return gates.mart_checks(
+        *fixture.damaged_marts(warehouse.read(FACT), warehouse.read(DIM_SELLER))
+    )
+
+
+def empty_mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart gate on a fact without rows and the sellers of the whole one."""
+    warehouse = built(spark, sf_dir)
+    return gates.mart_checks(
+        warehouse.read(FACT).where("order_id IS NULL"), warehouse.read(DIM_SELLER)
+    )
+
+
+def damaged_bi_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The BI gate on a copy and views with a known number of defects of each kind."""
+    warehouse = built(spark, sf_dir)
+    opt, layer = fixture.damaged_layer(warehouse.read(FACT_OPT), views(spark, sf_dir))
+    return gates.bi_checks(warehouse.read(FACT), opt, layer, fixture.STATE_COUNT)
+
+
 def bi_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.warehouse_bi_checks(
         built(spark, sf_dir), views(spark, sf_dir), fixture.STATE_COUNT
@@ -256,7 +295,7 @@ def calendar_missing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def headline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.headline(marts.staged_fact(fixture.raw_tables(spark, sf_dir)))
+    return reports.headline(_raw_fact(spark, sf_dir))
 
 
 def _report(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
@@ -281,15 +320,64 @@ def _slice(layer: dict[str, DataFrame]) -> DataFrame:
 
 
 def _star_members(layer: dict[str, DataFrame]) -> DataFrame:
-    """Orders per calendar month and ranked seller state; the blank member included."""
-    joined = reports.star(
+    return reports.star_members(
         layer["vw_bi_orders"], layer["vw_bi_calendar"], layer["vw_bi_seller_leaderboard"]
     )
-    return joined.groupBy("calendar_month_start", "ranked_seller_state").agg(
-        F.count(F.lit(1)).alias("delivered_orders")
+
+
+def _whole_trend(layer: dict[str, DataFrame]) -> DataFrame:
+    trend = reports.monthly_trend(layer["vw_bi_orders"], layer["vw_bi_calendar"])
+    return trend.withColumn("delivered_orders", F.col("delivered_orders").cast("double"))
+
+
+def _all_top_sellers(layer: dict[str, DataFrame]) -> DataFrame:
+    return reports.top_sellers(layer["vw_bi_orders"], layer["vw_bi_seller_leaderboard"])
+
+
+def in_order(query: Query) -> Query:
+    """A sorted report with the place of each row, so that its order can be compared."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # one partition after the other: reports have a row per state, month or seller
+        rows = query(spark, sf_dir).coalesce(1)
+        return rows.withColumn("place", F.monotonically_increasing_id() + 1)
+
+    return run
+
+
+def inline_state_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers per state of an inline relation; a state without customers counts 0."""
+    codes = sorted(chr(65 + n // 5) + chr(65 + n % 5) for n in range(fixture.STATE_COUNT))
+    inline = inline_states(spark, tuple((code, f"state {code}", code[0]) for code in codes))
+    per_state = fixture.raw_customers(spark, sf_dir).groupBy("customer_state").agg(
+        F.count(F.lit(1)).alias("customers")
+    )
+    return inline.join(per_state, inline.code == per_state.customer_state, "left").select(
+        "code", "name", "region", F.coalesce("customers", F.lit(0)).alias("customers")
     )
 
 
+def catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of each published table and view, read by its catalog name."""
+    database = "punctual_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
+    warehouse = Warehouse(spark, folder(spark, sf_dir, "published"))
+    csv_load.load(warehouse, write_csv(spark, sf_dir, "published_csv"))
+    marts.build_marts(warehouse, {table: warehouse.read(table) for table in RAW_TABLES})
+    write_partitioned(warehouse)
+    publish(warehouse, database, fixture.states(spark, sf_dir))
+    return row_counts({name: spark.table(f"{database}.{name}") for name in PUBLISHED})
+
+
+def busiest_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third layout query over all states, where more than ten sellers compete."""
+    fact = built(spark, sf_dir).read(FACT_OPT).withColumn("seller_state", F.lit(PARAMS.state))
+    return layout_bench.state_and_range(fact, PARAMS)
+
+
+def layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout_bench.surviving_rows(built(spark, sf_dir), PARAMS)
+
+
 def _bench(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return layout_bench.QUERIES[name](built(spark, sf_dir).read(FACT_OPT), PARAMS)
@@ -352,6 +440,9 @@ REGISTRY: dict[str, Query] = {
     "mart_checks": mart_checks,
     "bi_checks": bi_checks,
     "dirty_mart_checks": dirty_mart_checks,
+    "damaged_mart_checks": damaged_mart_checks,
+    "empty_mart_checks": empty_mart_checks,
+    "damaged_bi_checks": damaged_bi_checks,
     "gate_total": dirty_gate_total,
     "orphan_sellers": orphan_sellers,
     "calendar_missing_dates": calendar_missing_dates,
@@ -379,6 +470,22 @@ REGISTRY: dict[str, Query] = {
     "history_filter": history_filter,
     "run_tag_extract": run_tag_extract,
     "layout_report": layout_report,
+    "layout_rows": layout_rows,
+    "catalog_views": catalog_views,
+    "inline_state_orders": inline_state_orders,
+    "monthly_trend": _report(_whole_trend),
+    "top_sellers_all": _report(_all_top_sellers),
+    "busiest_sellers": busiest_sellers,
+    "ordered_busiest_sellers": in_order(busiest_sellers),
+    "ordered_top_sellers": in_order(_report(_all_top_sellers)),
+    "ordered_state_ranking": in_order(
+        _report(lambda v: reports.state_ranking(v["vw_bi_orders"]))
+    ),
+    "ordered_trend": in_order(_report(_whole_trend)),
+    "ordered_bench_q1": in_order(_bench("q1_quarter_by_state")),
+    "ordered_bench_q2": in_order(_bench("q2_one_state_all_time")),
+    "ordered_row_counts": in_order(row_count_report),
+    "ordered_dirty_checks": in_order(dirty_mart_checks),
     "rebuild_twice": rebuild_twice,
     "bi_extract": bi_extract,
 }

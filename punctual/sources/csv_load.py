@@ -40,7 +40,8 @@ def load(
 ) -> None:
     """Replace the raw tables by the CSV files, as they are.
 
-    Names come from the header. Types are inferred, which reads each file twice; a
+    All files are read and staged before the first table changes. Names come from the
+    header. Types are inferred, which reads each file twice; a
     declared schema in ``schemas`` saves that pass. A malformed row fails the load:
     the write parses every column, so no bad row is pruned away unseen.
     """
@@ -48,6 +49,7 @@ def load(
     paths = source_paths(source_dir, naming)
     preflight(spark, paths)
     warehouse.ensure()
+    staged = {}
     for table, path in paths.items():
         reader = spark.read.option("header", True).option("mode", "FAILFAST").option("escape", '"')
         schema = (schemas or {}).get(table)
@@ -56,4 +58,6 @@ def load(
         else:
             # With a declared schema, a header that disagrees is an error too.
             reader = reader.schema(schema).option("enforceSchema", False)
-        warehouse.replace(table, reader.csv(path))
+        staged[table] = warehouse.stage(table, reader.csv(path))
+    for table, version in staged.items():
+        warehouse.commit(table, version)

@@ -31,17 +31,32 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
-def swap_in(spark: SparkSession, source: str, target: str) -> None:
-    """Put the finished folder ``source`` in the place of ``target``."""
-    fs, old = _path(spark, target)
-    new = spark._jvm.org.apache.hadoop.fs.Path(source)
-    fs.mkdirs(old.getParent())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {source} to {target}")
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it doesn't exist."""
+    fs, hadoop = _path(spark, path)
+    if not fs.exists(hadoop):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, which appears at once on every file system."""
+    fs, hadoop = _path(spark, path)
+    fs.create(hadoop, True).close()
 
 
 def size_bytes(spark: SparkSession, path: str) -> int:
     """Total bytes of the files under ``path``."""
     fs, hadoop = _path(spark, path)
     return fs.getContentSummary(hadoop).getLength()
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files at ``path``: changes when they do."""
+    fs, hadoop = _path(spark, path)
+    found, listed = [], fs.listFiles(hadoop, True)
+    while listed.hasNext():
+        status = listed.next()
+        entry = (status.getPath().toString(), status.getLen(), status.getModificationTime())
+        found.append(entry)
+    return tuple(sorted(found))

@@ -108,3 +108,70 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("name"),
         F.col("r_name").alias("region"),
     )
+
+
+def _where(condition: str, column: str, changed: str) -> Column:
+    return F.expr(f"CASE WHEN {condition} THEN {changed} ELSE {column} END")
+
+
+def damaged_marts(fact: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A fact and a dimension with defects of each kind the mart gate looks for."""
+    fact = fact.unionByName(fact.where("order_id % 11 = 0")).withColumns(
+        {
+            "order_date": _where("order_id % 13 = 0", "order_date", "NULL"),
+            "order_month": _where("order_id % 17 = 0", "order_month", "order_month + 1"),
+            "order_value": _where("order_id % 19 = 0", "order_value", "-order_value"),
+            "delivered_date": _where(
+                "order_id % 23 = 0", "delivered_date", "date_sub(order_date, 1)"
+            ),
+            "is_late": _where("order_id % 29 = 0", "is_late", "NULL"),
+            "delivery_days": _where("order_id % 31 = 0", "delivery_days", "delivery_days + 400"),
+        }
+    )
+    dim = dim.where("seller_id % 5 <> 0")
+    dim = dim.unionByName(dim.where("seller_id % 7 = 0")).withColumn(
+        "on_time_rate", _where("seller_id % 3 = 0", "on_time_rate", "on_time_rate + 1")
+    )
+    return fact, dim
+
+
+def damaged_layer(opt: DataFrame, views: dict[str, DataFrame]) -> tuple[DataFrame, dict]:
+    """A copy and BI views with defects of each kind the BI gate looks for."""
+    orders, monthly, by_state, board, calendar, states = (
+        views[name]
+        for name in (
+            "vw_bi_orders", "vw_bi_monthly", "vw_bi_by_state", "vw_bi_seller_leaderboard",
+            "vw_bi_calendar", "ref_br_state",
+        )
+    )
+    return opt.where("NOT (is_late AND order_id % 2 = 0)"), {
+        "vw_bi_orders": orders.where("order_id % 43 <> 0").withColumns(
+            {
+                "on_time_pct": _where("order_id % 47 = 0", "on_time_pct", "on_time_pct + 1"),
+                "customer_region": _where("customer_state = 'AD'", "customer_region", "NULL"),
+            }
+        ),
+        "vw_bi_monthly": monthly.withColumns(
+            {
+                "orders": _where("order_month % 2 = 0", "orders", "orders + 1"),
+                "month_start": _where(
+                    "order_month % 3 = 0", "month_start", "add_months(month_start, 1)"
+                ),
+                "on_time_rate": _where("order_month % 5 = 0", "on_time_rate", "on_time_rate + 1"),
+            }
+        ),
+        "vw_bi_by_state": by_state.where("customer_state <> 'AD'").withColumn(
+            "customer_region_code",
+            _where("customer_state > 'C'", "customer_region_code", "lower(customer_region_code)"),
+        ),
+        "vw_bi_seller_leaderboard": board.withColumns(
+            {
+                "on_time_pct": _where("seller_id % 3 = 0", "on_time_pct", "on_time_pct + 1"),
+                "delivered_orders": _where(
+                    "seller_id % 4 = 0", "delivered_orders", "delivered_orders - 1000"
+                ),
+            }
+        ),
+        "vw_bi_calendar": calendar.where("day(date) <> 15"),
+        "ref_br_state": states.where("code <> 'AA'"),
+    }

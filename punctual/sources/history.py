@@ -22,14 +22,25 @@ _EVENTS = """
 """
 
 
+DEFAULT_FOLDER = "file:/tmp/spark-events"  # Spark's own, where none is set
+
+
+def logs_events(spark: SparkSession) -> bool:
+    """Whether the session writes an event log that can be read while it runs."""
+    conf = spark.sparkContext.getConf()
+    return (
+        conf.get("spark.eventLog.enabled", "false") == "true"
+        and conf.get("spark.eventLog.compress", "true") == "false"
+    )
+
+
 def event_log_path(spark: SparkSession) -> str | None:
     """This application's event log, or None where the session writes no readable one."""
     conf = spark.sparkContext.getConf()
-    if conf.get("spark.eventLog.enabled", "false") != "true":
-        return None
-    if conf.get("spark.eventLog.compress", "true") == "true":
+    if not logs_events(spark):
         return None
-    folder, app = conf.get("spark.eventLog.dir").rstrip("/"), spark.sparkContext.applicationId
+    folder = conf.get("spark.eventLog.dir", DEFAULT_FOLDER).rstrip("/")
+    app = spark.sparkContext.applicationId
     rolling, single = f"{folder}/eventlog_v2_{app}*/events_*", f"{folder}/{app}*"
     return next((path for path in (rolling, single) if files.matches(spark, path)), None)
 
@@ -41,6 +52,7 @@ def job_history(spark: SparkSession, path: str) -> DataFrame:
         F.col("Job ID").alias("job_id"),
         F.timestamp_millis("Submission Time").alias("creation_time"),
         F.col("Properties")["spark.job.description"].alias("description"),
+        F.col("Properties").alias("properties"),
         F.col("Stage IDs").alias("stages"),
     )
     ended = events.where("Event = 'SparkListenerJobEnd'").select(
@@ -78,6 +90,7 @@ def job_history(spark: SparkSession, path: str) -> DataFrame:
             "creation_time",
             F.coalesce("state", F.lit("RUNNING")).alias("state"),
             "description",
+            "properties",
             F.coalesce("total_bytes_processed", F.lit(0)).alias("total_bytes_processed"),
             F.coalesce("total_task_ms", F.lit(0)).alias("total_task_ms"),
         )

@@ -42,5 +42,10 @@ def ref_br_state(spark: SparkSession) -> DataFrame:
     Inline, the optimizer knows its exact size and joins it by broadcast, so a state with
     a third of all orders is never shuffled to one task.
     """
-    rows = ", ".join(str(state) for state in STATES)
+    return inline_states(spark, STATES)
+
+
+def inline_states(spark: SparkSession, states: tuple[tuple[str, str, str], ...]) -> DataFrame:
+    """States given as (code, name, region), as an inline table."""
+    rows = ", ".join(str(state) for state in states)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS states (code, name, region)")

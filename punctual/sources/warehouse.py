@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.contracts import (
@@ -18,6 +20,7 @@ from punctual.contracts import (
 from punctual.sources import files
 
 MART_TABLES = (FACT, DIM_SELLER, FACT_OPT)
+COMMITS = "_commits"  # names of versions, in the order in which they became current
 
 
 class Warehouse:
@@ -32,29 +35,69 @@ class Warehouse:
         for layer in ("raw", "marts"):
             files.make_dir(self.spark, f"{self.root}/{layer}")
 
-    def path(self, table: str) -> str:
+    def _home(self, table: str) -> str:
         layer = "raw" if table in RAW_TABLES else "marts"
         return f"{self.root}/{layer}/{table}"
 
+    def path(self, table: str) -> str:
+        """The folder of the table's current version: the latest that was committed."""
+        home = self._home(table)
+        committed = files.children(self.spark, f"{home}/{COMMITS}")
+        if not committed:
+            raise FileNotFoundError(f"no table {table} under {self.root}")
+        return f"{home}/{committed[-1]}"
+
     def exists(self, table: str) -> bool:
-        return files.exists(self.spark, self.path(table))
+        return bool(files.children(self.spark, f"{self._home(table)}/{COMMITS}"))
 
     def drop(self, table: str) -> None:
-        files.delete(self.spark, self.path(table))
+        files.delete(self.spark, self._home(table))
 
     def size_bytes(self, table: str) -> int:
         return files.size_bytes(self.spark, self.path(table))
 
-    def replace(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def stage(
+        self,
+        table: str,
+        df: DataFrame,
+        partition_by: tuple[str, ...] = (),
+        records_per_file: int = 0,
+    ) -> str:
+        """Write a new version of ``table`` that nobody reads yet; its name."""
+        version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        writer = df.write.partitionBy(*partition_by)
+        if records_per_file:
+            writer = writer.option("maxRecordsPerFile", records_per_file)
+        writer.parquet(f"{self._home(table)}/{version}")
+        return version
+
+    def commit(self, table: str, version: str) -> DataFrame:
+        """Make a staged version the current one, and return it.
+
+        A version becomes current by an empty file of its name, so there is no moment
+        without a table, nothing is renamed, and two jobs at once don't touch each other's
+        files. Readers of the version before can finish; older ones are deleted.
+        """
+        home = self._home(table)
+        files.touch(self.spark, f"{home}/{COMMITS}/{version}")
+        for old in files.children(self.spark, f"{home}/{COMMITS}")[:-2]:
+            files.delete(self.spark, f"{home}/{COMMITS}/{old}")
+            files.delete(self.spark, f"{home}/{old}")
+        return self.read(table)
+
+    def replace(
+        self,
+        table: str,
+        df: DataFrame,
+        partition_by: tuple[str, ...] = (),
+        records_per_file: int = 0,
+    ) -> DataFrame:
         """Create or replace ``table`` as ``df`` and return the written table.
 
-        The new table takes the old one's place when it is complete. A job that fails
-        half way leaves the old table, and readers never see a part of the new one.
+        A job that fails half way leaves the old table, and readers never see a part of
+        the new one.
         """
-        staged = f"{self.root}/.staging/{table}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
-        files.swap_in(self.spark, staged, self.path(table))
-        return self.read(table)
+        return self.commit(table, self.stage(table, df, partition_by, records_per_file))
 
     def read(self, table: str) -> DataFrame:
         df = self.spark.read.parquet(self.path(table))
@@ -66,16 +109,23 @@ class Warehouse:
         return df
 
     def publish(self, database: str) -> None:
-        """Register the tables in the catalog, so that SQL can name them."""
+        """Register the current tables in the catalog, so that SQL can name them.
+
+        The partitioned copy gets the contract's types; the catalog puts its partition key
+        last, and views over it put it back in place. Publish again after a rebuild.
+        """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for table in (*RAW_TABLES, *MART_TABLES):
             if self.exists(table):
-                self.spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-                self.spark.catalog.createTable(
-                    f"{database}.{table}", self.path(table), "parquet"
+                name, path = f"{database}.{table}", self.path(table)
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                columns = ", ".join(
+                    f"`{f.name}` {f.dataType.simpleString()}" for f in self.read(table).schema
                 )
-                if table == FACT_OPT:
-                    self.spark.catalog.recoverPartitions(f"{database}.{table}")
+                by = f"PARTITIONED BY (`{PARTITION_KEY}`)" if table == FACT_OPT else ""
+                self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{path}'")
+                if by:
+                    self.spark.catalog.recoverPartitions(name)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -93,13 +143,19 @@ def contents(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count plus an order-independent fingerprint of every table's rows.
 
     The fingerprint is a sum of row hashes, so two equal multisets of rows agree
-    whatever files or partitions hold them.
+    whatever files or partitions hold them. A hash skips NULLs, so where they are is hashed
+    as well.
     """
     prints = [
         df.agg(
             F.count(F.lit(1)).alias("row_count"),
-            F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).alias("fingerprint"),
+            F.sum(_row_hash(df).cast("decimal(38,0)")).alias("fingerprint"),
         ).select(F.lit(name).alias("table_name"), "row_count", "fingerprint")
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, prints).orderBy("table_name")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    columns = sorted(df.columns)
+    return F.xxhash64(*(x for c in columns for x in (F.col(c).isNull(), F.col(c))))

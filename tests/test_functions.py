@@ -122,3 +122,27 @@ def test_text_or_null(spark):
     pattern = F.regexp_extract("v", "k=([0-9]+)", 1)
     assert one(spark, "k=7", "string", scalar.text_or_null(pattern)) == "7"
     assert one(spark, "none", "string", scalar.text_or_null(pattern)) is None
+
+
+def test_safe_timestamp_in_any_session_zone(spark):
+    texts = {
+        "2017-10-02 10:56:33": "2017-10-02 10:56:33",
+        "2017-03-12 02:30:00": "2017-03-12 02:30:00",  # skipped by the clocks of New York
+        "2017-10-02 10:56:33Z": "2017-10-02 10:56:33",
+        "2017-10-02 10:56:33.5+02:00": "2017-10-02 08:56:33.5",
+        "1960-01-01T00:00:00 America/New_York": "1960-01-01 05:00:00",
+        "2017-10-02": "2017-10-02 00:00:00",
+    }
+    zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set(zone, name)
+            df = spark.createDataFrame(list(texts.items()), "v string, w string")
+            typed = spark.sql("SELECT timestamp_micros(1506941793000000) AS v")
+            wrong = df.where(~scalar.safe_timestamp(df, "v").eqNullSafe(F.col("w").cast("timestamp_ntz")))
+            assert wrong.collect() == []
+            instant = typed.select(scalar.safe_timestamp(typed, "v").cast("string")).first()[0]
+            assert instant == "2017-10-02 10:56:33"
+    finally:
+        spark.conf.set(zone, before)

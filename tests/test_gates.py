@@ -9,6 +9,7 @@ import pytest
 from frames import bad_rows, fact
 from pyspark.sql import functions as F
 
+from punctual import registry
 from punctual.operators import checks
 from punctual.plans import bi, gates, marts
 from punctual.sources.states import ref_br_state
@@ -237,3 +238,12 @@ def test_gate_total(spark):
     report = mart_report(spark, [{}, {"delivery_days": 400}, {"order_value": Decimal(-1)}])
     assert checks.gate_total(report).first().bad_rows == 2
     assert checks.gate_total(report.where("false")).first().bad_rows == 0
+
+
+def test_registered_gates_fire_every_check(spark, sf_dir):
+    """So that each count is compared with another engine's where it is not 0."""
+    fired = set()
+    for name in ("damaged_mart_checks", "empty_mart_checks", "damaged_bi_checks"):
+        rows = registry.REGISTRY[name](spark, sf_dir).where("bad_rows > 0").collect()
+        fired |= {row.check_name for row in rows}
+    assert fired == {*gates.MART_CHECKS, *gates.BI_CHECKS}

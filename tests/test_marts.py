@@ -7,7 +7,7 @@ import pytest
 from frames import fact
 from pyspark.sql import functions as F
 
-from punctual.operators.joins import heavy_keys
+from punctual.operators.joins import heavy_keys, join_rollup
 from punctual.operators.rollup import (
     items_per_order,
     order_rollup,
@@ -148,7 +148,7 @@ def repeat(df, times, *ids):
 
 
 def test_hot_orders_go_their_own_way_with_the_same_result(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr("punctual.operators.joins.AQE_FACTOR", 0)  # size alone makes a key hot
+    monkeypatch.setattr("punctual.operators.joins.AQE_FACTOR", 1e-3)  # size alone makes a key hot
     tables = fixture.raw_tables(spark, sf_dir)
     ids = [r.order_id for r in marts.staged_fact(tables).orderBy("order_id").limit(2).collect()]
     tables["orders"] = repeat(tables["orders"], 3000, ids[0])
@@ -159,7 +159,7 @@ def test_hot_orders_go_their_own_way_with_the_same_result(spark, sf_dir, monkeyp
     assert heavy_keys("order_id", orders, items) == []
     assert heavy_keys("order_id", orders.where("false"), items.where("false")) == []
 
-    plain, split = marts.staged_fact(tables), marts.staged_fact(tables, hot_rows=2000)
+    plain, split = marts.staged_fact(tables), marts.staged_fact(tables, marts.hot_orders(tables, 2000))
     assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" in split._jdf.queryExecution().analyzed().toString()
     assert split.exceptAll(plain).isEmpty()
@@ -175,6 +175,23 @@ def test_a_key_is_hot_by_its_share_too(spark):
     assert heavy_keys("k", rows.where("k > 1 OR rand(1) < 0.2"), min_rows=1000) == []
 
 
+def test_no_hot_key_is_left_out_for_their_number(spark):
+    """300 equally hot keys among 30,000 partitions, and the fact split by all of them."""
+    partitions = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(partitions)
+    rows = spark.range(300 * 40).select((F.col("id") % 300).alias("k"))
+    try:
+        spark.conf.set(partitions, "30000")
+        found = heavy_keys("k", rows, min_rows=1)
+    finally:
+        spark.conf.set(partitions, before)
+    assert found == list(range(300))
+    counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    nothing = counts.where(F.raise_error(F.lit("a hot key went the cold way")).isNull())
+    both = join_rollup(rows, nothing.where(~F.col("k").isin(found)), counts, "k", found)
+    assert both.agg(F.sum("n")).first()[0] == 300 * 40 * 40
+
+
 def test_dim_seller(spark):
     table = fact(
         spark,

@@ -11,8 +11,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import oracle
+from punctual import registry
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = registry.queries(), oracle.queries()
 NO_SQL = {"layout_report"}  # file sizes are not in SQL
 TYPES = {
     "bigint": "BIGINT",
@@ -46,6 +48,11 @@ def normal(rows, columns):
     )
 
 
+def test_the_contract_names_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert ORACLE.items() <= contract.oracle_sql().items()
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) - set(ORACLE) == NO_SQL
     assert not set(ORACLE) - set(QUERIES)

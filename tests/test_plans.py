@@ -18,6 +18,7 @@ from punctual.operators.rollup import (
     order_rollup_by_order,
     primary_seller,
 )
+from punctual.operators.layout import plan_files
 from punctual.plans import bi, gates, layout_bench, marts, reports
 from punctual.sources import fixture
 from punctual.sources.states import ref_br_state
@@ -160,7 +161,7 @@ def test_mart_checks_scan_each_measure_once(warehouse):
 
 @pytest.mark.parametrize("name", sorted(registry.REGISTRY))
 def test_no_query_needs_python_workers_or_cross_joins(spark, sf_dir, name):
-    if name in ("rebuild_twice", "layout_report"):
+    if name in ("rebuild_twice", "layout_report", "catalog_views"):
         pytest.skip("runs jobs; its parts are covered")
     text = plan(registry.REGISTRY[name](spark, sf_dir))
     for operator in ("Python", "NestedLoop", "CartesianProduct"):
@@ -178,10 +179,36 @@ def test_planned_bytes_see_only_the_months_asked_for(warehouse):
     assert q2 == warehouse.size_bytes(FACT_OPT)
 
 
-def test_calendar_is_built_from_one_aggregate_row(layer):
-    text = plan(layer["vw_bi_calendar"])
-    assert text.count("FileScan") == 1
-    assert "ReadSchema: struct<order_date:date>" in text
+@pytest.fixture
+def whole_paths(spark):
+    key = "spark.sql.maxMetadataStringLength"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_calendar_reads_dates_of_two_months(spark, layer, warehouse, whole_paths):
+    dates, *months = sorted(scans(layer["vw_bi_calendar"]), key=lambda s: "struct<>" in s)
+    assert "ReadSchema: struct<order_date:date>" in dates
+    assert "order_month" in dates.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "ubquery" in dates.split("PartitionFilters:")[1]
+    assert months and all("ReadSchema: struct<>" in scan for scan in months)
+
+
+def test_bi_gate_reads_the_copy_in_few_ways(warehouse, layer, whole_paths):
+    """Equal scans are one at run time: Spark reuses equal subqueries and exchanges."""
+    gate = gates.warehouse_bi_checks(warehouse, layer, fixture.STATE_COUNT)
+    copy = [scan for scan in scans(gate) if f"/{FACT_OPT}/" in scan]
+    whole = {scan.split("ReadSchema:")[1] for scan in copy if "ubquery" not in scan}
+    assert 2 <= len(whole) <= 4
+
+
+def test_layout_tasks_stay_bounded_at_any_size():
+    assert plan_files(100 << 40, 10**12, 128 << 20, 8)[0] == 30_000
+    tasks, records = plan_files(100 << 40, 819_200 * 1000, 128 << 20, 8)
+    assert (tasks, records) == (30_000, 1000)
+    assert plan_files(0, 0, 128 << 20, 8) == (1, 1)
 
 
 def test_reference_states_join_by_broadcast(spark, warehouse):
