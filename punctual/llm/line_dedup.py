@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import BLANKS, UPPER, fresh
+from punctual.llm.common import BLANKS, UPPER, cut, fresh
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -70,6 +70,9 @@ def dedup_lines(
         .where(F.col("__docs") >= min_docs)
         .drop("__docs")
     )
+    # stored, it joins as a table of known size: by broadcast where it is small, else with
+    # a plain shuffle of either side, whose hot keys can be split
+    shared = cut(shared, "shared")
     dropped = (
         lines.join(shared, ["__h1", "__h2"])
         .where(~F.col("__id").eqNullSafe(F.col("__holder")))
