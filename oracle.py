@@ -473,6 +473,19 @@ def queries() -> dict[str, str]:
               ('q3_state_and_range', 199801, 199806)) AS q(query, first, last),
               (VALUES ('base'), ('opt')) AS l(layout) GROUP BY query, layout""",
         "catalog_views": object_counts(PUBLISHED_OBJECTS),
+        "failed_casts": """SELECT 'orders' AS table_name, 'order_purchase_timestamp' AS column_name,
+              count(*) AS lost FROM stg_orders WHERE order_id % 9 = 0
+            UNION ALL SELECT 'orders', 'order_delivered_customer_date', count(*)
+              FROM stg_orders WHERE order_id % 10 = 0
+            UNION ALL SELECT 'orders', 'order_estimated_delivery_date', 0
+            UNION ALL SELECT 'order_items', 'price', count(*)
+              FROM stg_order_items WHERE order_item_id = 3
+            UNION ALL SELECT 'order_items', 'freight_value', 0""",
+        "copy_difference": DAMAGED_MARTS + """SELECT
+            (SELECT count(*) FROM (SELECT * FROM fact EXCEPT ALL SELECT * FROM bad_fact))
+              AS only_left,
+            (SELECT count(*) FROM (SELECT * FROM bad_fact EXCEPT ALL SELECT * FROM fact))
+              AS only_right""",
         "inline_state_orders": """SELECT code, 'state ' || code AS name, code[1] AS region,
             (SELECT count(*) FROM customers WHERE customer_state = code) AS customers
             FROM (SELECT chr(CAST(65 + n // 5 AS INTEGER)) || chr(CAST(65 + n % 5 AS INTEGER))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from punctual.contracts import (
     RATE_TOLERANCE,
     REGION_CODE_PATTERN,
 )
-from punctual.functions.scalar import flag, month_text
+from punctual.functions.scalar import flag, month_text, safe_numeric, safe_timestamp
 from punctual.operators.checks import Check, report, zero_or_one
 from punctual.sources.warehouse import Warehouse
 
@@ -223,6 +225,51 @@ def bi_checks(
     return report(fact.sparkSession, measurements, checks)
 
 
+def failed_casts(raw: dict[str, DataFrame]) -> DataFrame:
+    """Per column that staging casts: values that are there in the raw table and NULL after.
+
+    One scan a table. Outside the two gates, as a failed cast is no bad row yet.
+    """
+    orders, items = raw["orders"], raw["order_items"]
+    casts = {
+        "orders": {
+            name: safe_timestamp(orders, name)
+            for name in (
+                "order_purchase_timestamp",
+                "order_delivered_customer_date",
+                "order_estimated_delivery_date",
+            )
+        },
+        "order_items": {name: safe_numeric(name) for name in ("price", "freight_value")},
+    }
+    rows = []
+    for table, columns in casts.items():
+        counts = raw[table].agg(
+            *(
+                F.count_if(F.col(name).isNotNull() & cast.isNull()).alias(name)
+                for name, cast in columns.items()
+            )
+        )
+        pairs = F.array(
+            *(
+                F.struct(F.lit(name).alias("column_name"), F.col(name).alias("lost"))
+                for name in columns
+            )
+        )
+        rows.append(counts.select(F.lit(table).alias("table_name"), F.inline(pairs)))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """How many rows, with their number of times, are on one side only."""
+    counts = [
+        one.exceptAll(other).agg(F.count(F.lit(1)).alias(name))
+        for one, other, name in ((left, right, "only_left"), (right, left, "only_right"))
+    ]
+    base = left.sparkSession.range(0, 1, 1, 1)
+    return base.select(*(df.scalar().alias(df.columns[0]) for df in counts))
+
+
 def warehouse_mart_checks(warehouse: Warehouse) -> DataFrame:
     return mart_checks(warehouse.read(FACT), warehouse.read(DIM_SELLER))
 

@@ -264,6 +264,29 @@ def damaged_bi_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.bi_checks(warehouse.read(FACT), opt, layer, fixture.STATE_COUNT)
 
 
+def failed_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lost values per column, where some dates and prices are text of another kind."""
+    raw = fixture.raw_tables(spark, sf_dir)
+    dates = ("order_purchase_timestamp", "order_delivered_customer_date")
+    orders = raw["orders"].withColumns(
+        {
+            name: F.expr(f"CASE WHEN order_id % {n} = 0 THEN 'soon' ELSE string({name}) END")
+            for name, n in zip(dates, (9, 10), strict=True)
+        }
+    )
+    price = F.expr("CASE WHEN order_item_id = 3 THEN 'n/a' ELSE string(price) END")
+    items = raw["order_items"].withColumn("price", price)
+    return gates.failed_casts({"orders": orders, "order_items": items})
+
+
+def copy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that only the fact has, and only a damaged copy of it."""
+    warehouse = built(spark, sf_dir)
+    fact = warehouse.read(FACT)
+    damaged, _ = fixture.damaged_marts(warehouse.read(FACT_OPT), warehouse.read(DIM_SELLER))
+    return gates.difference(fact, damaged)
+
+
 def bi_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.warehouse_bi_checks(
         built(spark, sf_dir), views(spark, sf_dir), fixture.STATE_COUNT
@@ -443,6 +466,8 @@ REGISTRY: dict[str, Query] = {
     "damaged_mart_checks": damaged_mart_checks,
     "empty_mart_checks": empty_mart_checks,
     "damaged_bi_checks": damaged_bi_checks,
+    "failed_casts": failed_casts,
+    "copy_difference": copy_difference,
     "gate_total": dirty_gate_total,
     "orphan_sellers": orphan_sellers,
     "calendar_missing_dates": calendar_missing_dates,

@@ -55,18 +55,34 @@ def prepare(spark: SparkSession, input_bytes: int) -> None:
     while the data grows. Shuffles get a partition per 128 MiB of input up to 30,000;
     beyond that the partitions grow (100 TB: 3.5 GB of input each, of which a few columns
     are shuffled). Scan splits grow to 1 GiB so that a scan keeps to 100,000 tasks. What
-    the session has configured is the lower bound: adaptive execution merges partitions
-    that turn out small, so too many cost little and too few spill.
+    the session has configured is the lower bound: each call starts from that, whatever an earlier one set, so a query's plan doesn't
+    depend on the queries before it. Adaptive execution merges partitions that turn out
+    small, so too many cost little and too few spill.
     """
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(_configured(spark, "spark.sql.shuffle.partitions"))
     wanted = min(math.ceil(input_bytes / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
-    spark.conf.set("spark.sql.shuffle.partitions", str(max(partitions, wanted)))
+    _raise(spark, "spark.sql.shuffle.partitions", str(max(partitions, wanted)))
     smallest, largest = SCAN_BYTES
     split = min(math.ceil(input_bytes / SCAN_TASKS), largest)
-    if split > smallest:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", f"{split}b")
+    scans = _configured(spark, "spark.sql.files.maxPartitionBytes")
+    _raise(spark, "spark.sql.files.maxPartitionBytes", f"{split}b" if split > smallest else scans)
+
+
+_raised: dict[tuple[str, str], tuple[str, str]] = {}  # what was set, and over which value
+
+
+def _configured(spark: SparkSession, key: str) -> str:
+    """The session's own value: one that ``prepare`` has set doesn't count as such."""
+    now = spark.conf.get(key)
+    ours, before = _raised.get((spark.sparkContext.applicationId, key), ("", now))
+    return before if now == ours else now
+
+
+def _raise(spark: SparkSession, key: str, value: str) -> None:
+    _raised[spark.sparkContext.applicationId, key] = (value, _configured(spark, key))
+    spark.conf.set(key, value)
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -318,6 +318,12 @@ def test_session_grows_with_the_input(spark):
         prepare(spark, 100 << 40)
         assert spark.conf.get(shuffles) == "30000"
         assert spark.conf.get(scans) == f"{1 << 30}b"
+        prepare(spark, 0)  # a small query after a large one plans as it would before it
+        assert {key: spark.conf.get(key) for key in before} == before
+        prepare(spark, 1 << 40)
+        spark.conf.set(shuffles, "77")  # the user's word counts
+        prepare(spark, 0)
+        assert spark.conf.get(shuffles) == "77"
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
