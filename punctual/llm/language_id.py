@@ -19,7 +19,7 @@ SAMPLE_BYTES = 64 << 10  # of labelled text per language
 PIECE_CHARS = 2048  # that one document gives at most
 TABLE_BYTES = 128 << 20  # of all automata of a worker
 LANES = 512
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 UNKNOWN = "und"
 
 _letter = re.compile(r"[^\W\d_]")
@@ -89,15 +89,15 @@ class Automata:
         for text in texts:
             following = suffix_automaton([self.symbol[b] if b else 255 for b in text])
             fresh_state = (base + len(following)) * width
-            table = np.full((len(following) + 1, width), -1, np.int64)
+            table = np.full((len(following) + 1, width), -1, np.int32)
             for state, edges in enumerate(following):
                 for symbol, target in edges.items():
                     if symbol != 255:
                         table[state, symbol] = (base + target) * width
-            begin = np.where(table[0] < 0, fresh_state, table[0])
-            table = np.where(table < 0, ~begin, table)
+            begin = np.where(table[0] < 0, np.int32(fresh_state), table[0])
+            np.copyto(table, ~begin, where=table < 0)
             table[:, 0] = fresh_state
-            tables.append(table.astype(np.int32))
+            tables.append(table)
             self.start.append(fresh_state)
             self.bits.append(np.log2(len(text) + 2))
             base += len(following) + 1
@@ -157,7 +157,7 @@ class Automata:
         return names, scores
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _automata(samples: tuple) -> Automata:
     return Automata(dict(samples))
 
