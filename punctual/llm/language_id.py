@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,8 @@ from punctual.llm.lanes import Lanes
 FOLDS = 5
 SAMPLE_BYTES = 64 << 10  # of labelled text per language
 PIECE_CHARS = 2048  # that one document gives at most
-TABLE_BYTES = 128 << 20  # of all automata of a worker
+TABLE_BYTES = 128 << 20  # of the automata that a worker has in a table at a time
+EDGE_BYTES = 128 << 20  # of the transitions that it keeps to make the tables of several blocks
 LANES = 512
 SLICE_BYTES = 8 << 20
 UNKNOWN = "und"
@@ -37,7 +39,7 @@ def letters(text: bytes | None) -> np.ndarray | None:
     return raw[keep]
 
 
-def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
+def suffix_automaton(text: bytes | list[int]) -> list[dict[int, int]]:
     """Transitions of the smallest automaton that accepts the substrings of ``text``."""
     following: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
@@ -68,8 +70,26 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     return following
 
 
-class Automata:
-    """The automata of all languages in one table, for parsing many texts at once.
+class Edges:
+    """The suffix automaton of one sample as arrays of transitions, some 16 bytes a symbol."""
+
+    def __init__(self, sample: bytes):
+        following = suffix_automaton(sample)
+        self.states = len(following)
+        counts = np.fromiter(map(len, following), np.int32, self.states)
+        n = int(counts.sum())
+        byte = np.fromiter(chain.from_iterable(following), np.uint8, n)
+        target = np.fromiter(chain.from_iterable(d.values() for d in following), np.int32, n)
+        keep = byte > 0  # which separates pieces
+        self.state = np.repeat(np.arange(self.states, dtype=np.int32), counts)[keep]
+        self.byte, self.target = byte[keep], target[keep]
+
+    def nbytes(self) -> int:
+        return self.state.nbytes + self.byte.nbytes + self.target.nbytes
+
+
+class Block:
+    """The automata of some languages in one table, for parsing many texts at once.
 
     An entry is the place of the next state's row. Where the longest match ends it is the
     complement of the place to which the symbol leads from the start, as a new phrase
@@ -77,49 +97,35 @@ class Automata:
     end of a text lead to a state from which each symbol begins a phrase.
     """
 
-    def __init__(self, samples: dict[str, bytes], table_bytes: int = TABLE_BYTES):
-        self.languages = sorted(samples)
-        texts = [self._text(samples[name], len(samples), table_bytes) for name in self.languages]
-        known = sorted(set().union(*(t for t in texts)) - {0})
+    def __init__(self, automata: list[Edges], known: list[int]):
         # symbols: end of text, unknown, then the bytes seen
         self.symbol = np.ones(256, np.uint8)
+        self.symbol[0] = 0
         self.symbol[known] = np.arange(2, len(known) + 2)
         width = len(known) + 2
-        tables, self.start, self.bits, base = [], [], [], 0
-        for text in texts:
-            following = suffix_automaton([self.symbol[b] if b else 255 for b in text])
-            fresh_state = (base + len(following)) * width
-            table = np.full((len(following) + 1, width), -1, np.int32)
-            for state, edges in enumerate(following):
-                for symbol, target in edges.items():
-                    if symbol != 255:
-                        table[state, symbol] = (base + target) * width
-            begin = np.where(table[0] < 0, np.int32(fresh_state), table[0])
-            np.copyto(table, ~begin, where=table < 0)
-            table[:, 0] = fresh_state
-            tables.append(table)
-            self.start.append(fresh_state)
-            self.bits.append(np.log2(len(text) + 2))
-            base += len(following) + 1
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-
-    @staticmethod
-    def _text(sample: bytes, languages: int, table_bytes: int) -> list[int]:
-        # at most two states a symbol, with four bytes for each of up to 160 symbols
-        most = max(1, table_bytes // (languages * 2 * 4 * 160))
-        return list(sample[:most] if len(sample) > most else sample)
+        rows = sum(a.states + 1 for a in automata)
+        kind = np.int32 if rows * width < 1 << 31 else np.int64
+        self.sign = 8 * np.dtype(kind).itemsize - 1
+        table, start, base = np.full((rows, width), -1, kind), [], 0
+        for a in automata:
+            part = table[base : base + a.states + 1]
+            fresh_state = (base + a.states) * width
+            part[a.state, self.symbol[a.byte]] = (a.target.astype(kind) + base) * width
+            begin = np.where(part[0] < 0, kind(fresh_state), part[0])
+            np.copyto(part, ~begin, where=part < 0)
+            part[:, 0] = fresh_state
+            start.append(fresh_state)
+            base += a.states + 1
+        self.table, self.start = table.ravel(), np.array(start, kind)
 
-    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """How many longest matches make up each text, by language."""
-        ends = np.zeros(1, np.uint8)
-        flat = np.concatenate([x for t in texts for x in (self.symbol[t], ends)])
-        lanes = Lanes(np.array([len(t) + 1 for t in texts]), LANES)
-        rows = lanes.spread(flat, 0)
-        count = len(self.languages)
+    def phrases(self, flat: np.ndarray, lanes: Lanes) -> np.ndarray:
+        """How many longest matches make up each text, by language of the block."""
+        rows = lanes.spread(self.symbol[flat], 0)
+        count = len(self.start)
         # lane by lane, the languages side by side, so that the living lanes come first
-        state = np.tile(np.array(self.start, np.int32), lanes.count)
-        done = np.zeros(len(state), np.int32)
-        out = np.zeros((len(texts), count), np.int64)
+        state = np.tile(self.start, lanes.count)
+        done = np.zeros_like(state)
+        out = np.zeros((len(lanes.lengths), count), np.int64)
         so_far = np.zeros((lanes.count, count), np.int64)
         steps, bounds, order = lanes.endings()
         event = 0
@@ -127,7 +133,7 @@ class Automata:
             k = int(lanes.width[t]) * count
             at = state[:k] + np.repeat(rows[t, : lanes.width[t]], count)
             following = self.table[at]
-            ended = following >> 31
+            ended = following >> self.sign
             state[:k] = following ^ ended
             done[:k] -= ended
             if event < len(steps) and steps[event] == t:
@@ -139,20 +145,78 @@ class Automata:
                 event += 1
         return out
 
+
+class Automata:
+    """The automata of all languages, of each one's whole sample.
+
+    As many languages as fit into ``table_bytes`` make a block, one with a larger sample a
+    block of its own. If there are several, their tables are made anew for each slice of
+    texts from transitions, of which up to ``edge_bytes`` are kept; what is beyond that is
+    built from the samples again. So memory is bounded for any number of languages.
+    """
+
+    def __init__(
+        self, samples: dict[str, bytes], table_bytes: int = TABLE_BYTES, edge_bytes: int = EDGE_BYTES
+    ):
+        self.languages = sorted(samples)
+        self.samples = [samples[name] for name in self.languages]
+        self.bits = np.array([np.log2(len(s) + 2) for s in self.samples])
+        self.edges: dict[int, Edges] = {}
+        self.edge_room = edge_bytes
+        self.blocks: list[tuple[range, list[int]]] = []  # languages, bytes seen
+        first, length, seen = 0, 0, set()
+        for i, sample in enumerate(self.samples):
+            both = seen | (set(sample) - {0})
+            # at most two states a symbol, and two more
+            if i > first and 8 * (length + len(sample) + i + 1 - first) * (len(both) + 2) > table_bytes:
+                self.blocks.append((range(first, i), sorted(seen)))
+                first, length, both = i, 0, set(sample) - {0}
+            seen, length = both, length + len(sample)
+        if self.languages:
+            self.blocks.append((range(first, len(self.languages)), sorted(seen)))
+        self.only = self._block(0) if len(self.blocks) == 1 else None
+
+    def _edges(self, i: int) -> Edges:
+        found = self.edges.get(i)
+        if found is None:
+            found = Edges(self.samples[i])
+            if len(self.blocks) > 1 and found.nbytes() <= self.edge_room:
+                self.edge_room -= found.nbytes()
+                self.edges[i] = found
+        return found
+
+    def _block(self, number: int) -> Block:
+        languages, known = self.blocks[number]
+        return Block([self._edges(i) for i in languages], known)
+
+    def _counts(self, texts: list[np.ndarray]) -> Iterator[tuple[range, np.ndarray]]:
+        ends = np.zeros(1, np.uint8)
+        flat = np.concatenate([x for t in texts for x in (t, ends)])
+        lanes = Lanes(np.array([len(t) + 1 for t in texts]), LANES)
+        for number, (languages, _) in enumerate(self.blocks):
+            yield languages, (self.only or self._block(number)).phrases(flat, lanes)
+
+    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
+        """How many longest matches make up each text, by language."""
+        return np.concatenate([counts for _, counts in self._counts(texts)], axis=1)
+
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         plain = [letters(t) for t in texts]
         live = [i for i, t in enumerate(plain) if t is not None]
         if not live or not self.languages:
             return names, scores
-        cost = self.phrases([plain[i] for i in live]) * np.array(self.bits)
-        best = cost.argmin(axis=1)
+        best, low = np.zeros(len(live), np.int64), np.full((len(live), 2), np.inf)
+        for languages, counts in self._counts([plain[i] for i in live]):
+            cost = counts * self.bits[languages.start : languages.stop]
+            better = cost.min(axis=1) < low[:, 0]
+            best[better] = languages.start + cost[better].argmin(axis=1)
+            low = np.partition(np.concatenate([low, cost], axis=1), 1, axis=1)[:, :2]
         for i, k in zip(live, best, strict=True):
             names[i] = self.languages[k]
         if len(self.languages) == 1:
             scores[live] = 1.0
         else:
-            low = np.partition(cost, 1, axis=1)[:, :2]
             scores[live] = low[:, 1] / low.sum(axis=1)
         return names, scores
 

@@ -27,6 +27,27 @@ def test_phrases_match_brute_force():
     assert got.tolist() == [[brute_phrases(t, samples[k]) for k in "xyz"] for t in texts]
 
 
+def test_whole_samples_count_however_many_languages():
+    rng = random.Random(5)
+    word = lambda a, n: bytes(rng.choices(a, k=n))
+    for languages, size in ((4, 40_000), (100, 2_500)):
+        samples = {f"{k:03}": word(b"abcdefgh \xc3\xa4"[k % 3 :], size) for k in range(languages)}
+        ends = [s[-300:] for s in samples.values()][:20]
+        texts = [*ends, word(b"abcdefgh \xc3\xa4", 400)]
+        arrays = [np.frombuffer(t, np.uint8) for t in texts]
+        wanted = [[brute_phrases(t, s) for s in samples.values()] for t in texts]
+        whole = lid.Automata(samples)
+        assert whole.phrases(arrays).tolist() == wanted
+        assert all(wanted[k][k] == 1 for k in range(len(ends)))
+        # blocks of one and more languages, whose transitions are kept for some only
+        for table_bytes, edge_bytes in ((1, 0), (220 * size, 40 * size)):
+            parts = lid.Automata(samples, table_bytes, edge_bytes)
+            assert len(parts.blocks) > 1 and parts.phrases(arrays).tolist() == wanted
+            names, scores = parts.predict(texts)
+            all_names, all_scores = whole.predict(texts)
+            assert names == all_names and scores.tolist() == all_scores.tolist()
+
+
 def test_lanes_place_every_sequence_once():
     lengths = np.array([5, 1, 9, 2, 2, 7, 1])
     lanes = Lanes(lengths, 3)
