@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import chain
@@ -24,6 +25,10 @@ LANES = 512
 SLICE_BYTES = 8 << 20
 UNKNOWN = "und"
 
+# in Spark, what _letter finds, and what letters() makes a blank
+LETTER, OTHERS = r"[\p{L}\p{Nl}\p{No}]", r"[\x00-\x60\x7b-\x7f]+"
+LEVELS = 8  # of the hash of ids from one to its half
+
 _letter = re.compile(r"[^\W\d_]")
 
 
@@ -239,23 +244,36 @@ def learn(
     At most ``sample_bytes`` of normalised text per language, in the order of a hash of the
     id, so that it doesn't depend on the order or number of partitions; a document gives its
     first ``PIECE_CHARS`` characters at most. Documents without a letter, without an id or
-    without a language aren't learned from. One pass counts, one fetches about four times
-    the sample; the driver holds the samples only.
+    without a language aren't learned from, nor counted or fetched. One pass sums the bytes of
+    each language by levels of the hash, one fetches the levels that fill the sample; the
+    driver holds about the samples only.
     """
-    train = docs.where((fold(id_col, folds) != 0) & F.col(lang_col).isNotNull()).select(
-        F.col(id_col).alias("id"),
-        F.col(lang_col).cast("string").alias("lang"),
-        F.substring(F.col(text_col), 1, PIECE_CHARS).alias("piece"),
-        (F.xxhash64(F.col(id_col)) / F.lit(2.0**64) + 0.5).alias("rank"),
+    rank = F.xxhash64(F.col(id_col)) / F.lit(2.0**64) + 0.5
+    train = (
+        docs.where((fold(id_col, folds) != 0) & F.col(lang_col).isNotNull())
+        .select(
+            F.col(id_col).alias("id"),
+            F.col(lang_col).cast("string").alias("lang"),
+            F.substring(F.col(text_col), 1, PIECE_CHARS).alias("piece"),
+            rank.alias("rank"),
+        )
+        .where(F.col("piece").rlike(LETTER))
+        .withColumn("level", F.floor(F.log2(F.greatest("rank", F.lit(2.0**-64))) * -LEVELS))
     )
-    sizes = train.groupBy("lang").agg(F.sum(F.octet_length("piece")).alias("bytes")).collect()
-    share = {r["lang"]: 4 * sample_bytes / max(1, r["bytes"] or 0) for r in sizes}
-    if not share:
+    size = F.octet_length(F.ltrim(F.regexp_replace(F.lower("piece"), OTHERS, " ")))
+    sizes = train.groupBy("lang", "level").agg(F.sum(size).alias("bytes")).collect()
+    least: dict[str, int] = {}
+    so_far: Counter = Counter()
+    for r in sorted(sizes, key=lambda r: -r["level"]):
+        if so_far[r["lang"]] < sample_bytes:
+            least[r["lang"]] = r["level"]
+            so_far[r["lang"]] += r["bytes"]
+    if not least:
         return {}
-    wanted = F.create_map(*(F.lit(x) for pair in share.items() for x in pair))
-    picked = train.where(F.col("rank") < wanted[F.col("lang")]).collect()
+    wanted = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))
+    picked = train.where(F.col("level") >= wanted[F.col("lang")]).collect()
     samples: dict[str, list[bytes]] = {}
-    room = dict.fromkeys(share, sample_bytes)
+    room = dict.fromkeys(least, sample_bytes)
     for r in sorted(picked, key=lambda r: (r["rank"], str(r["id"]), r["piece"] or "")):
         plain = letters((r["piece"] or "").encode())
         if plain is not None and room[r["lang"]] > 0:

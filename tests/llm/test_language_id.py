@@ -69,6 +69,19 @@ def test_learned_sample_is_bounded_and_leaves_out_the_held_out_fold(spark, sf_di
     assert lid.learn(only) == {}
 
 
+def test_only_what_can_be_learned_from_is_fetched(spark, monkeypatch):
+    rows = [(i, None if i % 3 else "12, 34!", "none") for i in range(3000)]
+    rows += [(i, f"{'1' * 500} word{chr(97 + i % 26)} {i}", "en") for i in range(3000, 6000)]
+    rows += [(7000, "½", "half")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    fetched, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: fetched.append(collect(self)) or fetched[-1])
+    samples = lid.learn(df, sample_bytes=3000)
+    assert set(samples) == {"en", "half"}
+    assert len(samples["en"].replace(b"\0", b"")) == 3000
+    assert all(len(f) < 1000 for f in fetched)
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = lid.op8_language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
