@@ -18,7 +18,7 @@ from punctual.llm.lanes import Lanes
 
 FOLDS = 5
 SAMPLE_BYTES = 64 << 10  # of labelled text per language
-PIECE_CHARS = 2048  # that one document gives at most
+PIECE_CHARS = 2048  # that one document gives
 TABLE_BYTES = 128 << 20  # of the automata that a worker has in a table at a time
 EDGE_BYTES = 128 << 20  # of the transitions that it keeps to make the tables of several blocks
 LANES = 512
@@ -27,7 +27,7 @@ UNKNOWN = "und"
 
 # in Spark, what _letter finds, and what letters() makes a blank
 LETTER, OTHERS = r"[\p{L}\p{Nl}\p{No}]", r"[\x00-\x60\x7b-\x7f]+"
-LEVELS = 8  # of the hash of ids from one to its half
+LEVELS = 8  # of the hash of pieces from one to its half
 
 _letter = re.compile(r"[^\W\d_]")
 
@@ -238,30 +238,35 @@ def learn(
     lang_col: str = "lang",
     folds: int = FOLDS,
     sample_bytes: int = SAMPLE_BYTES,
+    piece_chars: int = PIECE_CHARS,
 ) -> dict[str, bytes]:
     """A sample of text per language, from documents outside fold 0 with a language.
 
     At most ``sample_bytes`` of normalised text per language, in the order of a hash of the
-    id, so that it doesn't depend on the order or number of partitions; a document gives its
-    first ``PIECE_CHARS`` characters at most. Documents without a letter, without an id or
-    without a language aren't learned from, nor counted or fetched. One pass sums the bytes of
-    each language by levels of the hash, one fetches the levels that fill the sample; the
-    driver holds about the samples only.
+    pieces, so that it doesn't depend on the order or number of partitions. A document gives
+    ``piece_chars`` characters, from a place in its whole text that a hash of the text
+    chooses; if these have no letter, those from its first letter on. Equal pieces of a
+    language count once. Documents without a letter, without an id or without a language
+    aren't learned from, nor counted or fetched. One pass sums the bytes of each language by
+    levels of the hash, one fetches the levels that fill the sample; the driver holds about
+    the samples only.
     """
-    rank = F.xxhash64(F.col(id_col)) / F.lit(2.0**64) + 0.5
+    text, n = F.col("text"), F.lit(piece_chars)
+    start = F.pmod(F.xxhash64(text), F.greatest(F.char_length(text) - n, F.lit(0)) + 1)
+    somewhere = F.substring(text, (start + 1).cast("int"), n)
+    first = F.regexp_extract(text, f"(?s){LETTER}.{{0,{piece_chars - 1}}}", 0)
+    rank = F.xxhash64("piece", F.lit("rank")) / F.lit(2.0**64) + 0.5
     train = (
         docs.where((fold(id_col, folds) != 0) & F.col(lang_col).isNotNull())
-        .select(
-            F.col(id_col).alias("id"),
-            F.col(lang_col).cast("string").alias("lang"),
-            F.substring(F.col(text_col), 1, PIECE_CHARS).alias("piece"),
-            rank.alias("rank"),
-        )
-        .where(F.col("piece").rlike(LETTER))
+        .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+        .select("lang", F.when(somewhere.rlike(LETTER), somewhere).otherwise(first).alias("piece"))
+        .where("piece <> ''")
+        .select("lang", "piece", rank.alias("rank"))
         .withColumn("level", F.floor(F.log2(F.greatest("rank", F.lit(2.0**-64))) * -LEVELS))
     )
     size = F.octet_length(F.ltrim(F.regexp_replace(F.lower("piece"), OTHERS, " ")))
-    sizes = train.groupBy("lang", "level").agg(F.sum(size).alias("bytes")).collect()
+    once = train.groupBy("lang", "rank", "level").agg(F.max(size).alias("bytes"))
+    sizes = once.groupBy("lang", "level").agg(F.sum("bytes").alias("bytes")).collect()
     least: dict[str, int] = {}
     so_far: Counter = Counter()
     for r in sorted(sizes, key=lambda r: -r["level"]):
@@ -271,11 +276,11 @@ def learn(
     if not least:
         return {}
     wanted = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))
-    picked = train.where(F.col("level") >= wanted[F.col("lang")]).collect()
+    picked = train.where(F.col("level") >= wanted[F.col("lang")]).distinct().collect()
     samples: dict[str, list[bytes]] = {}
     room = dict.fromkeys(least, sample_bytes)
-    for r in sorted(picked, key=lambda r: (r["rank"], str(r["id"]), r["piece"] or "")):
-        plain = letters((r["piece"] or "").encode())
+    for r in sorted(picked, key=lambda r: (r["rank"], r["piece"])):
+        plain = letters(r["piece"].encode())
         if plain is not None and room[r["lang"]] > 0:
             part = plain.tobytes()[: room[r["lang"]]]
             room[r["lang"]] -= len(part)

@@ -82,6 +82,24 @@ def test_only_what_can_be_learned_from_is_fetched(spark, monkeypatch):
     assert all(len(f) < 1000 for f in fetched)
 
 
+def test_all_of_a_text_can_be_learned_from_and_copies_count_once(spark):
+    head = "12-34 " * 1000
+    licence = "permission is hereby granted free of charge " * 100
+    one = lambda k, ws: " ".join(f"{w}{chr(97 + k % 26)}" for w in ws * 150)
+    rows = [(i, head + one(i, ["lorem", "ipsum"]), "la") for i in range(100)]
+    rows += [(i, licence + one(i, ["der", "hund"]), "de") for i in range(100, 200)]
+    rows += [(i, "the same text", "en") for i in range(200, 900)]
+    rows += [(i, f"other text {chr(97 + i % 26)}", "en") for i in range(900, 1000)]
+    rows += [(1000 + i, head + "1" * 60_000 + " rara", "far") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    samples = lid.learn(df, sample_bytes=20_000, piece_chars=500)
+    assert set(samples) == {"la", "de", "en", "far"} and b"rara" in samples["far"]
+    assert b"ipsumc" in samples["la"] and samples["de"].count(b"hund") > 20
+    assert all(len(p) <= 500 for s in samples.values() for p in s.split(b"\0"))
+    assert samples["en"].count(b"the same text") == 1 and samples["en"].count(b"other text") == 26
+    assert lid.learn(df.repartition(5), sample_bytes=20_000, piece_chars=500) == samples
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = lid.op8_language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
