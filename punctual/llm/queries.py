@@ -8,10 +8,13 @@ from punctual.llm import (
     embedding_dedup,
     language_id,
     language_model,
+    lexical_search,
     line_dedup,
     quality,
+    secret_scan,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
 )
 from punctual.llm.common import table
@@ -33,6 +36,9 @@ def queries() -> dict:
         "op8_language_id": _over(language_id.op8_language_id, "documents"),
         "op9_bpe": _over(bpe.op9_bpe, "documents"),
         "op10_substring_dedup": _over(substring_dedup.op10_substring_dedup, "documents"),
+        "op11_secret_scan": _over(secret_scan.op11_secret_scan, "documents"),
+        "op12_lexical_search": _over(lexical_search.op12_lexical_search, "documents", "benchmark"),
+        "op13_spelling": _over(spelling.op13_spelling, "documents"),
     }
 
 
@@ -42,4 +48,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_embedding_dedup": embedding_dedup.ORACLE,
         "op5_line_dedup": line_dedup.ORACLE,
         "op6_decontaminate": decontaminate.ORACLE,
+        "op12_lexical_search": lexical_search.ORACLE,
     }
