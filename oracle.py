@@ -472,7 +472,7 @@ def queries() -> dict[str, str]:
               ('q2_one_state_all_time', NULL, NULL),
               ('q3_state_and_range', 199801, 199806)) AS q(query, first, last),
               (VALUES ('base'), ('opt')) AS l(layout) GROUP BY query, layout""",
-        "catalog_views": object_counts(PUBLISHED_OBJECTS),
+        "catalog_views": object_counts(PUBLISHED_OBJECTS, ", true AS same_rows"),
         "failed_casts": """SELECT 'orders' AS table_name, 'order_purchase_timestamp' AS column_name,
               count(*) AS lost FROM stg_orders WHERE order_id % 9 = 0
             UNION ALL SELECT 'orders', 'order_delivered_customer_date', count(*)
@@ -500,7 +500,17 @@ def queries() -> dict[str, str]:
         "ordered_bench_q1": placed(BENCH_Q1, "orders DESC, seller_state"),
         "ordered_bench_q2": placed(BENCH_Q2, "order_month"),
         "rebuild_twice": object_counts(REBUILT_OBJECTS, ", true AS identical"),
-        "bi_extract": object_counts(EXTRACT_OBJECTS),
+        "bi_extract": object_counts(EXTRACT_OBJECTS, ", true AS same_rows"),
+        "commit_order": """SELECT CAST(step AS BIGINT) AS step, count(*) AS orders
+            FROM stg_orders, (VALUES (1, 1), (2, 3), (3, 2), (4, 5)) AS s(step, every)
+            WHERE order_id % every = 0 GROUP BY step""",
+        "pinned_tables": """SELECT reader, table_name, count(*) AS row_count FROM (
+              SELECT order_id AS id, 'orders' AS table_name FROM stg_orders
+              UNION ALL SELECT order_id, 'order_items' FROM stg_order_items
+              UNION ALL SELECT 0, 'customers' FROM customer
+              UNION ALL SELECT 0, 'sellers' FROM supplier),
+              (VALUES ('pinned', 1), ('latest', 3)) AS r(reader, every)
+            WHERE id % every = 0 GROUP BY reader, table_name""",
     }
     bad_rows = check_report(MART_RULES, MART_CHECKS)
     return {

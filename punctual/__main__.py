@@ -27,6 +27,9 @@ def main(argv: list[str] | None = None) -> int:
     one.add_argument("root")
     one.add_argument("--naming", default=DEFAULT_NAMING, help="file name, with {table}")
     one.add_argument("--database", help="also register the tables in this database")
+    one.add_argument(
+        "--at-once", action="store_true", help="show nothing before all gates have passed"
+    )
     two = jobs.add_parser("extract", help="snapshot the report's views")
     two.add_argument("root")
     two.add_argument("target")
@@ -39,13 +42,15 @@ def main(argv: list[str] | None = None) -> int:
     warehouse = Warehouse(spark, args.root)
     try:
         if args.job == "rebuild":
-            views = rebuild(spark, args.source_dir, args.root, args.naming)
+            views = rebuild(
+                spark, args.source_dir, args.root, args.naming, at_once=args.at_once
+            )
             loaded = {table: warehouse.read(table) for table in RAW_TABLES}
             row_counts({**loaded, **views}).show(truncate=False)
             if args.database:
                 publish(warehouse, args.database)
         elif args.job == "extract":
-            extract(bi_views(warehouse, ref_br_state(spark)), args.target)
+            extract(bi_views(warehouse.pinned(), ref_br_state(spark)), args.target)
         else:
             run_id = f"bench{uuid.uuid4().hex[:12]}"
             measured = layout_bench.measure(warehouse, layout_bench.Params(), run_id)

@@ -5,14 +5,44 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from punctual.session import MAX_SHUFFLE_PARTITIONS
+
 AQE_FACTOR = 5  # a key is hot where it outweighs this many average shuffle partitions
 HOT_ROWS = 1_000_000
 SKETCH_ITEMS = 8  # items a sketch tracks for each key that can be hot
 
 
+def _most(partitions: int) -> tuple[int, int]:
+    """How many keys can be hot at most, and how many a sketch tracks to find them."""
+    most = math.ceil(partitions / AQE_FACTOR) + 1
+    return most, max(10_000, SKETCH_ITEMS * most)
+
+
+def key_sketch(key: str, partitions: int = MAX_SHUFFLE_PARTITIONS) -> list[Column]:
+    """Aggregates that find the hot values of ``key`` for up to so many partitions."""
+    most, tracked = _most(partitions)
+    return [
+        F.count(key).alias("rows"),
+        F.expr(f"approx_top_k({key}, {most}, {tracked})").alias("top"),
+    ]
+
+
+def hot_in(sketches: list[dict], partitions: int, min_rows: int = HOT_ROWS) -> list:
+    """The keys that would each overload one of ``partitions``, by their sketches."""
+    return sorted(
+        {
+            entry["item"]
+            for sketch in sketches
+            for entry in sketch["top"] or []
+            if entry["item"] is not None
+            and entry["count"] > max(min_rows, AQE_FACTOR * sketch["rows"] / partitions)
+        }
+    )
+
+
 def heavy_keys(key: str, *frames: DataFrame, min_rows: int = HOT_ROWS) -> list:
     """The values of ``key`` that would each overload a shuffle partition of a frame.
 
@@ -23,26 +53,11 @@ def heavy_keys(key: str, *frames: DataFrame, min_rows: int = HOT_ROWS) -> list:
     steers the plan and never the result, so an estimate is enough.
     """
     partitions = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = math.ceil(partitions / AQE_FACTOR) + 1
-    tracked = max(10_000, SKETCH_ITEMS * most)
+    sketch = key_sketch(key, partitions)
     found = reduce(
-        DataFrame.unionByName,
-        (
-            df.where(F.col(key).isNotNull()).agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.expr(f"approx_top_k({key}, {most}, {tracked})").alias("top"),
-            )
-            for df in frames
-        ),
-    ).collect()
-    return sorted(
-        {
-            entry["item"]
-            for frame in found
-            for entry in frame["top"] or []
-            if entry["count"] > max(min_rows, AQE_FACTOR * frame["rows"] / partitions)
-        }
+        DataFrame.unionByName, (df.where(F.col(key).isNotNull()).agg(*sketch) for df in frames)
     )
+    return hot_in([row.asDict() for row in found.collect()], partitions, min_rows)
 
 
 def join_rollup(

@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.contracts import DELIVERED, DIM_SELLER, FACT, FACT_COLUMNS, NUMERIC
+from punctual.contracts import (
+    DELIVERED,
+    DIM_SELLER,
+    FACT,
+    FACT_COLUMNS,
+    NUMERIC,
+    RAW_TABLES,
+)
 from punctual.functions.scalar import (
     days_between,
     month_key,
     safe_numeric,
     safe_timestamp,
 )
-from punctual.operators.joins import HOT_ROWS, heavy_keys, join_rollup
+from punctual.operators.joins import HOT_ROWS, heavy_keys, hot_in, join_rollup
 from punctual.operators.rollup import order_rollup, order_rollup_by_order
 from punctual.sources.warehouse import Warehouse
 
@@ -130,6 +137,16 @@ def hot_orders(raw: dict[str, DataFrame], hot_rows: int = HOT_ROWS) -> list:
     return heavy_keys("order_id", raw["orders"], raw["order_items"], min_rows=hot_rows)
 
 
+def known_hot_orders(warehouse: Warehouse, hot_rows: int = HOT_ROWS) -> list | None:
+    """The same from what the load observed, without a job; None if it observed nothing."""
+    tables = ("orders", "order_items")
+    seen = [warehouse.stats(t) if warehouse.exists(t) else {} for t in tables]
+    if not all("top" in sketch for sketch in seen):
+        return None
+    partitions = int(warehouse.spark.conf.get("spark.sql.shuffle.partitions"))
+    return hot_in(seen, partitions, hot_rows)
+
+
 def staged_fact(raw: dict[str, DataFrame], hot: list | None = None) -> DataFrame:
     return fct_delivery_performance(
         stg_orders(raw["orders"]),
@@ -140,7 +157,21 @@ def staged_fact(raw: dict[str, DataFrame], hot: list | None = None) -> DataFrame
     )
 
 
-def build_marts(warehouse: Warehouse, raw: dict[str, DataFrame]) -> None:
-    """Replace the fact, then the dimension, which reads the written fact."""
-    fact = warehouse.replace(FACT, staged_fact(raw, hot_orders(raw)))
-    warehouse.replace(DIM_SELLER, dim_seller(fact))
+def build_marts(
+    warehouse: Warehouse, raw: dict[str, DataFrame] | None = None, hot_rows: int = HOT_ROWS
+) -> None:
+    """Replace the fact and the dimension, which reads the written fact, in one commit.
+
+    Without ``raw`` the marts are those of the warehouse's own raw tables, whose load has
+    observed which orders are hot. Tables from elsewhere are looked through by a job.
+    """
+    hot = known_hot_orders(warehouse, hot_rows) if raw is None else None
+    if raw is None:
+        raw = {table: warehouse.read(table) for table in RAW_TABLES}
+    if hot is None:
+        hot = hot_orders(raw, hot_rows)
+    # the dimension needs the written fact before anybody else may see it
+    draft = warehouse.draft()
+    fact = draft.replace(FACT, staged_fact(raw, hot))
+    draft.replace(DIM_SELLER, dim_seller(fact))
+    warehouse.commit_all(draft.staged)

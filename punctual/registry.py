@@ -11,7 +11,8 @@ import datetime
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,10 +93,15 @@ def _staged_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- sources ---------------------------------------------------------------------------
 
 
-def write_csv(spark: SparkSession, sf_dir: str, use: str) -> str:
-    """The raw tables as CSV files with a header, for the load jobs to read."""
+def write_csv(spark: SparkSession, sf_dir: str, use: str, orders: Column | None = None) -> str:
+    """The raw tables as CSV files with a header, for the load jobs to read.
+
+    ``orders`` chooses some orders and their items.
+    """
     target = folder(spark, sf_dir, use)
     for table, df in fixture.raw_tables(spark, sf_dir).items():
+        if orders is not None and "order_id" in df.columns:
+            df = df.where(orders)
         df.write.mode("overwrite").option("header", True).csv(f"{target}/{table}.csv")
     return target
 
@@ -380,15 +386,52 @@ def inline_state_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def database(sf_dir: str) -> str:
+    return "punctual_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
+
+
+def same_contents(left: dict[str, DataFrame], right: dict[str, DataFrame]) -> DataFrame:
+    """Row count of each table on the left, and whether the right one has the same rows."""
+    one, other = contents(left).alias("l"), contents(right).alias("r")
+    same = F.col("l.fingerprint").eqNullSafe(F.col("r.fingerprint"))
+    return one.join(other, "table_name").select(
+        "table_name",
+        F.col("l.row_count").alias("row_count"),
+        (same & (F.col("l.row_count") == F.col("r.row_count"))).alias("same_rows"),
+    )
+
+
 def catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count of each published table and view, read by its catalog name."""
-    database = "punctual_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:8]
+    """Each published table and view, read by its catalog name, against the frames.
+
+    It is published once, over half the orders; two rebuilds later, the first of half the
+    orders again and the second of all, the catalog must have what the last one left.
+    """
+    name, states = database(sf_dir), fixture.states(spark, sf_dir)
     warehouse = Warehouse(spark, folder(spark, sf_dir, "published"))
-    csv_load.load(warehouse, write_csv(spark, sf_dir, "published_csv"))
-    marts.build_marts(warehouse, {table: warehouse.read(table) for table in RAW_TABLES})
-    write_partitioned(warehouse)
-    publish(warehouse, database, fixture.states(spark, sf_dir))
-    return row_counts({name: spark.table(f"{database}.{name}") for name in PUBLISHED})
+    whole = write_csv(spark, sf_dir, "published_csv")
+    half = write_csv(spark, sf_dir, "published_half_csv", F.col("order_id") % 2 == 0)
+
+    def once(source: str) -> None:
+        csv_load.load(warehouse, source)
+        marts.build_marts(warehouse)
+        write_partitioned(warehouse)
+
+    once(half)
+    publish(warehouse, name, states)
+    once(half)
+    once(whole)
+    now = warehouse.pinned()
+    frames = {
+        **{table: now.read(table) for table in (*RAW_TABLES, FACT, DIM_SELLER, FACT_OPT)},
+        "stg_orders": marts.stg_orders(now.read("orders")),
+        "stg_order_items": marts.stg_order_items(now.read("order_items")),
+        **bi.bi_views(now, states),
+    }
+    return same_contents(
+        {table: spark.table(f"{name}.{table}") for table in PUBLISHED},
+        {table: frames[table] for table in PUBLISHED},
+    )
 
 
 def busiest_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,9 +479,56 @@ def rebuild_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bi_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count of each extracted view, read back from the snapshot."""
-    paths = extract(views(spark, sf_dir), folder(spark, sf_dir, "extract"))
-    return row_counts({name: spark.read.parquet(path) for name, path in paths.items()})
+    """Each extracted view, read back after a failed second extract, against the view."""
+    layer, target = views(spark, sf_dir), folder(spark, sf_dir, "extract")
+    paths = extract(layer, target)
+    last = "vw_bi_seller_leaderboard"
+    broken = layer[last].withColumn("seller_state", F.raise_error(F.lit("no view")))
+    try:
+        extract({**layer, last: broken}, target)
+    except PySparkException:
+        pass  # as it should: what is read now must be the first extract, whole
+    extracted = {name: spark.read.parquet(path) for name, path in paths.items()}
+    return same_contents(extracted, {name: layer[name] for name in extracted})
+
+
+def commit_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that are current after each commit of two writers, whose versions cross.
+
+    The one that staged first commits last: what counts is the order of the commits.
+    """
+    orders = fixture.raw_orders(spark, sf_dir)
+    root = folder(spark, sf_dir, "writers")
+    one, other = Warehouse(spark, root), Warehouse(spark, root)
+    counts = []
+
+    def commit(writer: Warehouse, version: str) -> None:
+        writer.commit("orders", version)
+        counts.append(Warehouse(spark, root).read("orders").count())
+
+    commit(one, one.stage("orders", orders))
+    even = one.stage("orders", orders.where("order_id % 2 = 0"))
+    commit(other, other.stage("orders", orders.where("order_id % 3 = 0")))
+    commit(one, even)
+    commit(other, other.stage("orders", orders.where("order_id % 5 = 0")))
+    return spark.createDataFrame(list(enumerate(counts, 1)), "step bigint, orders bigint")
+
+
+def pinned_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tables as two readers see them after a second load, of every third order.
+
+    The pinned reader began before it and must see the four tables of the first load.
+    """
+    warehouse = Warehouse(spark, folder(spark, sf_dir, "pinned"))
+    csv_load.load(warehouse, write_csv(spark, sf_dir, "pinned_csv"))
+    pinned = warehouse.pinned()
+    some = write_csv(spark, sf_dir, "pinned_some_csv", F.col("order_id") % 3 == 0)
+    csv_load.load(warehouse, some)
+    seen = [
+        row_counts({table: one.read(table) for table in RAW_TABLES}).withColumn("reader", F.lit(name))
+        for name, one in (("pinned", pinned), ("latest", warehouse))
+    ]
+    return seen[0].unionByName(seen[1])
 
 
 REGISTRY: dict[str, Query] = {
@@ -513,6 +603,8 @@ REGISTRY: dict[str, Query] = {
     "ordered_dirty_checks": in_order(dirty_mart_checks),
     "rebuild_twice": rebuild_twice,
     "bi_extract": bi_extract,
+    "commit_order": commit_order,
+    "pinned_tables": pinned_tables,
 }
 
 
