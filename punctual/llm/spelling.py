@@ -18,7 +18,7 @@ RATIO = 10  # how much more frequent a word's form is
 DROP_ONE_IN = 31
 SHORTEST = 2  # characters of a gram
 FREQUENT = 1024  # a gram with more than one in so many places is extended
-HOT_LIST = 4096  # words of a list that one task compares
+HOT_LIST = 32_768  # words of a list that one task compares, which takes under a second
 
 _RUN = f"[A-Za-zÀ-ÿ]{{{MIN_LENGTH},}}"
 
@@ -147,7 +147,9 @@ def inverted_lists(words: DataFrame, longest: int, frequent: int = FREQUENT) ->
     """The index: a row per word and context, with the context's hash as ``key``."""
     spark = words.sparkSession
     sent = spark.sparkContext.broadcast(gram_dictionary(words, longest, frequent))
-    marked = words.select("word", "n").mapInArrow(
+    # the words are few bytes, and so few files; what is done to each takes longer to do
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    marked = words.select("word", "n").repartition(tasks, "word").mapInArrow(
         partial(_marked, sent=sent, longest=longest), "word string, n bigint, marks array<int>"
     )
     mark, half = F.col("mark"), (F.col("mark") / 2).cast("int")
