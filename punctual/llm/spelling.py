@@ -124,6 +124,12 @@ def marks(word: str, dictionary: frozenset[str], longest: int) -> list[int]:
     it, in both words. So a gram is listed with all of the word up to its end, and with all
     from its start on. Of these contexts the shortest, which have the longest lists, are
     left out: one less than those that any word of one edit away shares.
+
+    A word of more than 4 * ``longest`` characters needs no more than 2 * ``longest`` lists.
+    Before the edit or behind it stands half of it or more, and there every gram is left
+    alone that ends ``longest`` characters or more from the edit. In each ``longest``
+    lengths there is a context, so those just below that are enough. The shortest word of
+    this kind has the lists of both kinds, as words on either side can be near it.
     """
     own = grams(word, dictionary, longest)
     size = len(word)
@@ -131,8 +137,14 @@ def marks(word: str, dictionary: frozenset[str], longest: int) -> list[int]:
         [2 * end + 1 for _, end in own if end < size] + [2 * (size - p) for p, _ in own if p],
         reverse=True,
     )
+    least = 4 * longest + 1
+    half = (size - 1) // 2
+    middle = [m for m in found if size >= least and half - 2 * longest < m // 2 <= half - longest]
+    if size > least:
+        return middle
     shared = unaffected(word, own, dictionary, longest)
-    return found[: len(found) - max(0, shared - 1)]
+    some = found[: len(found) - max(0, shared - 1)]
+    return some + [m for m in middle if m not in some]
 
 
 def _marked(batches: Iterator[pa.RecordBatch], sent, longest: int):

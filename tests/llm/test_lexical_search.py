@@ -1,0 +1,158 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from punctual.llm import lexical_search
+from punctual.llm.common import table
+
+
+def brute_terms(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
+def brute(docs, items, top=10):
+    counts = [(doc, Counter(brute_terms(text))) for doc, text in docs]
+    counts = [(doc, c) for doc, c in counts if c]
+    n, total = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    asked = {}
+    for item, text in items:
+        asked.setdefault(item, set()).update(brute_terms(text))
+    out = []
+    for item, terms in asked.items():
+        scores = []
+        for doc, c in counts:
+            m = 10 + (90 * sum(c.values()) * n) // total
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                * ((1_000_000_000 * c[t]) // (1000 * c[t] + 8 * m))
+                for t in terms
+                if t in c
+            )
+            if score > 0:
+                scores.append((-score, doc is not None, doc))
+        out += [(item, i + 1, s[2], -s[0]) for i, s in enumerate(sorted(scores)[:top])]
+    return out
+
+
+def corpus(rng, n, words=60):
+    vocabulary = [f"w{i}" for i in range(words)] + ["é", "ñandú", "日本", "Ä", "x1"]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+    return [
+        (i, rng.choice([" ", "-", ", ", "\n"]).join(rng.choices(vocabulary, weights, k=rng.choice([0, 1, 3, 20, 90]))))
+        for i in range(n)
+    ]
+
+
+ITEMS = [(1, "w1 W2 w30 w55"), (2, "é-ñandú w0"), (3, "nothing of it"), (4, None), (5, ""), (6, "w0"), (None, "w7 日本"), (1, "w44")]
+
+
+@pytest.mark.parametrize("segment", [64, 600, 1 << 20])
+def test_equals_brute_force(spark, monkeypatch, segment):
+    monkeypatch.setattr(lexical_search, "SEGMENT_BYTES", segment)
+    rng = random.Random(segment)
+    docs = corpus(rng, 300)
+    docs += [(400, docs[7][1]), (401, docs[7][1]), (401, docs[7][1]), (None, docs[7][1]), (500, None), (501, "!!")]
+    docs += [(600 + i, "w55 w30 tie") for i in range(15)]  # more than ten alike
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    got = sorted(map(tuple, lexical_search.op12_lexical_search(df, items).collect()), key=repr)
+    assert got == sorted(brute(docs, ITEMS), key=repr)
+    assert {r[0] for r in got} == {1, 2, 6, None}
+
+
+def test_items_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lexical_search, "BLOCK_BYTES", 12)
+    docs = corpus(random.Random(2), 80)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    got = sorted(map(tuple, lexical_search.op12_lexical_search(df, items).collect()), key=repr)
+    assert got == sorted(brute(docs, ITEMS), key=repr)
+
+
+def test_other_ids_columns_and_top(spark):
+    docs = [(f"d{i}", text, i) for i, text in enumerate(t for _, t in corpus(random.Random(8), 60))]
+    df = spark.createDataFrame(docs, "name string, body string, score int")
+    items = spark.createDataFrame([("q", "w3 w4 w5", 1)], "item string, text string, rank int")
+    got = lexical_search.rank_documents(df, items, "name", "body", "item", top=3)
+    assert got.columns == ["item", "rank", "name", "score"]
+    wanted = brute([d[:2] for d in docs], [("q", "w3 w4 w5")], 3)
+    assert sorted(map(tuple, got.collect())) == sorted(wanted)
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id bigint, text string")
+    some = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
+    asked = spark.createDataFrame([(1, "a")], "item_id bigint, text string")
+    nobody = spark.createDataFrame([], "item_id bigint, text string")
+    assert lexical_search.op12_lexical_search(none, asked).isEmpty()
+    assert lexical_search.op12_lexical_search(some, nobody).isEmpty()
+    assert lexical_search.op12_lexical_search(some.where("text IS NULL"), asked).isEmpty()
+    row = lexical_search.op12_lexical_search(some, asked).first()
+    assert tuple(row) == brute([(1, "a b")], [(1, "a")])[0] and row.score > 0
+
+
+def test_long_texts(spark):
+    docs = [(1, "w1 " * 400_000 + "rare"), (2, "rare w2"), (3, "x" * 1_000_000), (4, "w1 w2 w3")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    asked = [(1, "rare w1"), (2, "x" * 1_000_000)]
+    items = spark.createDataFrame(asked, "item_id bigint, text string")
+    got = sorted(map(tuple, lexical_search.op12_lexical_search(df, items).collect()))
+    assert got == sorted(brute(docs, asked))
+
+
+def test_a_treap_has_its_cells_and_the_highest_value_of_each_quarter():
+    rng = np.random.default_rng(4)
+    for rows, columns, n in ((1, 1, 1), (50, 7, 120), (3, 200, 90), (1000, 300, 5000)):
+        cells = rng.choice(rows * columns, min(n, rows * columns), replace=False)
+        row, column = cells // columns, cells % columns
+        value = rng.integers(1, 1000, len(cells))
+        height, masks, drops, top = lexical_search.treap(row, column, value)
+        tree = lexical_search.Treap(height, masks.tobytes(), drops.tobytes(), top)
+        found = {}
+
+        def walk(node, level, r, c, tree=tree, found=found, height=height):
+            if level == height:
+                found[r, c] = int(tree.best[node])
+                return int(tree.best[node])
+            child, highest = int(tree.first[node]), 0
+            for quarter in range(4):
+                if tree.masks[node] >> quarter & 1:
+                    highest = max(highest, walk(child, level + 1, 2 * r + quarter // 2, 2 * c + quarter % 2))
+                    child += 1
+            assert highest == tree.best[node]
+            return highest
+
+        walk(0, 0, 0, 0)
+        assert found == {(int(r), int(c)): int(v) for r, c, v in zip(row, column, value, strict=True)}
+
+
+def test_a_search_opens_few_ranges_of_what_cannot_win(monkeypatch):
+    lists = [[b"common", b"w%d" % (i % 50)] for i in range(4000)] + [[b"rare", b"common"]] * 10
+    n = np.array([len(x) for x in lists])
+    vocabulary, row, column, tf, order = lexical_search._postings(lists, n)
+    value = 1_000_000_000 * tf // (1000 * tf + 800)
+    height, masks, drops, top = lexical_search.treap(row, column, value)
+    query = lexical_search.Query({"q": [b"rare common w3"]})
+    query.weigh(np.array([10, 4010, 80]), 4010)
+    here = lexical_search._here(query.terms, b" ".join(vocabulary))
+    local = np.full(3, -1, np.int64)
+    local[here[here >= 0]] = np.flatnonzero(here >= 0)
+    opened, real = [], lexical_search._opened
+    monkeypatch.setattr(lexical_search, "_opened", lambda t, r: opened.append(len(r.item)) or real(t, r))
+    tree = lexical_search.Treap(height, masks.tobytes(), drops.tobytes(), top)
+    found = lexical_search.descend(tree, len(order), local, query, np.ones(1, np.int64))
+    assert len(found[0]) == 10 and sum(opened) < 1000, opened  # of 8,000 ranges
+
+
+def test_the_index_has_every_document_with_a_term_once(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    index = lexical_search.build_index(docs)
+    ids = [i for r in index.select("ids").collect() for i in r.ids]
+    wanted = [r.doc_id for r in docs.collect() if brute_terms(r.text)]
+    assert sorted(ids) == sorted(wanted) and index.first().n_docs == len(wanted)

@@ -13,7 +13,7 @@ from punctual.llm import common, queries
 
 def test_one_query_for_each_operator():
     names = set(queries.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert names | {"pipeline"} <= set(contract.queries())
     assert set(queries.oracle_sql()) <= names
 
