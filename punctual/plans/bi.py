@@ -20,8 +20,11 @@ def region_code() -> Column:
     return F.concat(F.lit(COUNTRY_PREFIX), F.col("customer_state")).alias("customer_region_code")
 
 
-def bi_orders(opt: DataFrame, states: DataFrame) -> DataFrame:
-    """Detail view: the fact with state names, region and flags. No row is dropped."""
+def bi_orders(opt: DataFrame, states: DataFrame, *carried: str) -> DataFrame:
+    """Detail view: the fact with state names, region and flags. No row is dropped.
+
+    ``carried`` are further columns of ``opt`` to pass on, such as where a row was read.
+    """
     named = states.select(
         F.col("code").alias("customer_state"),
         F.col("name").alias("customer_state_name"),
@@ -48,6 +51,7 @@ def bi_orders(opt: DataFrame, states: DataFrame) -> DataFrame:
         "item_count",
         "order_value",
         "freight_value",
+        *carried,
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from punctual.contracts import FACT, FACT_OPT, PARTITION_KEY
 from punctual.functions.scalar import mean_money
+from punctual.plans.bi import bi_orders
 from punctual.sources import history
 from punctual.sources.warehouse import Warehouse
 
@@ -187,6 +188,180 @@ def measure(warehouse: Warehouse, p: Params, run_id: str) -> DataFrame:
     )
 
 
+# -- where rows were read ----------------------------------------------------------------
+
+
+def traced(table: DataFrame) -> DataFrame:
+    """``table`` with ``scanned``: the file each row was read from, by Spark's own record.
+
+    The hidden columns of the file source survive filters, so what is left of them after a
+    filter on partitions is what a scan with that filter opens.
+    """
+    meta = F.col("_metadata")
+    return table.select(
+        "*",
+        F.struct(
+            meta["file_path"].alias("path"),
+            meta["file_size"].alias("bytes"),
+            meta["file_block_start"].alias("block"),
+        ).alias("scanned"),
+    )
+
+
+def opened_files(rows: DataFrame) -> DataFrame:
+    """Per file that ``rows``, traced, come from: its bytes, months, rows and blocks.
+
+    Counted per file, month and block first, so a file's rows are never together.
+    """
+    fine = rows.groupBy("scanned", PARTITION_KEY).agg(F.count(F.lit(1)).alias("rows"))
+    return fine.groupBy(F.col("scanned.path").alias("path"), F.col("scanned.bytes").alias("bytes")).agg(
+        F.collect_set(PARTITION_KEY).alias("months"),  # a table has few
+        F.sum("rows").alias("rows"),
+        F.count_distinct("scanned.block").alias("blocks"),
+    )
+
+
+def opened_months(rows: DataFrame) -> DataFrame:
+    """Per month in the files that a scan opens: its orders, and whether every file that
+    has some has that month alone."""
+    fine = rows.groupBy("scanned.path", PARTITION_KEY).agg(F.count(F.lit(1)).alias("orders"))
+    months = fine.groupBy("path").agg(F.count(F.lit(1)).alias("months"))
+    return (
+        fine.join(months, "path")
+        .groupBy(PARTITION_KEY)
+        .agg(F.sum("orders").alias("orders"), (F.max("months") == 1).alias("alone"))
+    )
+
+
+def pruned(warehouse: Warehouse, query: str, layout: str, p: Params) -> DataFrame:
+    """What partition pruning leaves of a layout's table for a query, traced."""
+    data = traced(warehouse.read(LAYOUTS[layout]))
+    if layout == "opt" and query in _MONTHS:
+        data = data.where(F.col(PARTITION_KEY).between(*getattr(p, _MONTHS[query])))
+    return data
+
+
+def view_pruning(warehouse: Warehouse, states: DataFrame, p: Params) -> DataFrame:
+    """The months in the files that a quarter's filter opens: by way of the order view,
+    whose filter has to reach the partitions, and on the plain fact, which has none."""
+    view = bi_orders(traced(warehouse.read(FACT_OPT)), states, "scanned")
+    quarter = view.where(F.col(PARTITION_KEY).between(*p.quarter))
+    sides = {"view": quarter, "fact": traced(warehouse.read(FACT))}
+    return reduce(
+        DataFrame.unionByName,
+        (opened_months(rows).withColumn("source", F.lit(name)) for name, rows in sides.items()),
+    )
+
+
+def provenance(warehouse: Warehouse, p: Params) -> DataFrame:
+    """Per query and layout, by the rows' own record: files, bytes, months and rows."""
+    return reduce(
+        DataFrame.unionByName,
+        (
+            opened_files(pruned(warehouse, query, layout, p))
+            .agg(
+                F.count(F.lit(1)).alias("files"),
+                F.sum("bytes").alias("bytes"),
+                F.size(F.array_distinct(F.flatten(F.collect_list("months")))).cast("bigint").alias("months"),
+                F.sum("rows").alias("rows"),
+            )
+            .select(F.lit(query).alias("query"), F.lit(layout).alias("layout"), "*")
+            for query in QUERIES
+            for layout in LAYOUTS
+        ),
+    )
+
+
+def planned_scans(warehouse: Warehouse, p: Params) -> DataFrame:
+    """The planned side against the rows' own record of where they were read.
+
+    Empty files are planned for but give no row; there are none in tables written here.
+    """
+    same = (F.col("files") == F.col("planned_files")) & (F.col("bytes") == F.col("planned_bytes"))
+    return (
+        planned(warehouse, p)
+        .join(provenance(warehouse, p), ["query", "layout"], "left")
+        .select("query", "layout", "months", "rows", same.alias("as_planned"))
+    )
+
+
+# -- what scans really did ---------------------------------------------------------------
+
+
+def scan_metrics(df: DataFrame) -> dict[str, int]:
+    """Files, partitions and rows that the file scans of a finished query have read.
+
+    Spark counts them per scan of the executed plan; stages that adaptive execution has
+    run stand behind query stages.
+    """
+    found = {"files": 0, "partitions": 0, "rows": 0}
+    names = {"files": "numFiles", "partitions": "numPartitions", "rows": "numOutputRows"}
+    waiting = [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "FileSourceScanExec":
+            metrics = node.metrics()
+            for key, name in names.items():
+                if metrics.contains(name):
+                    found[key] += metrics.apply(name).value()
+        elif kind == "AdaptiveSparkPlanExec":
+            waiting.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            waiting.append(node.plan())
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def scanned(warehouse: Warehouse, p: Params) -> DataFrame:
+    """Runs every query on both layouts; what its scan read, and the rows that it kept."""
+    rows = []
+    for query, build in QUERIES.items():
+        for layout, name in LAYOUTS.items():
+            result = build(warehouse.read(name), p)
+            kept = sum(row["orders"] for row in result.collect())  # a row per state or month, or ten
+            read = scan_metrics(result)
+            rows.append((query, layout, read["files"], read["partitions"], read["rows"], kept))
+    return warehouse.spark.createDataFrame(
+        rows,
+        "query string, layout string, read_files bigint, read_partitions bigint, "
+        "read_rows bigint, kept_rows bigint",
+    )
+
+
+def measured_scans(warehouse: Warehouse, p: Params) -> DataFrame:
+    """Planned against actual scans, with the columns that follow from the data alone.
+
+    How many files there are, and which rows of a month a row group's bounds leave out,
+    depends on how the tables were written; that scans keep to the plan doesn't. Months
+    are those a scan took as partitions, 0 on the plain table.
+    """
+    plan = planned(warehouse, p).join(surviving_rows(warehouse, p), ["query", "layout"])
+    return plan.join(scanned(warehouse, p), ["query", "layout"], "left").select(
+        "query",
+        "layout",
+        F.col("rows").alias("planned_rows"),
+        F.col("read_partitions").alias("months"),
+        (F.col("read_files") == F.col("planned_files")).alias("files_as_planned"),
+        F.col("read_rows").between(F.col("kept_rows"), F.col("rows")).alias("rows_within_plan"),
+    )
+
+
+def row_comparison(measured: DataFrame) -> DataFrame:
+    """One row per query: the rows that both layouts have to look at, and the savings."""
+    sides = (
+        measured.groupBy("query")
+        .pivot("layout", list(LAYOUTS))
+        .agg(
+            F.first("planned_rows").alias("rows"),
+            F.first("months").alias("months"),
+            F.first("rows_within_plan").alias("within_plan"),
+        )
+    )
+    return sides.withColumn("rows_reduction_pct", _saved("rows")).orderBy("query")
+
+
 def surviving_rows(warehouse: Warehouse, p: Params) -> DataFrame:
     """Rows in the partitions that pruning leaves, per query and layout.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctual.contracts import (
@@ -157,6 +157,15 @@ def staged_fact(raw: dict[str, DataFrame], hot: list | None = None) -> DataFrame
     )
 
 
+def _span(key: str) -> list[Column]:
+    """What tells the gate how close a table's keys are; the write sees them anyway."""
+    return [
+        F.count(key).alias("rows"),
+        F.min(key).alias("low"),
+        F.max(key).alias("high"),
+    ]
+
+
 def build_marts(
     warehouse: Warehouse, raw: dict[str, DataFrame] | None = None, hot_rows: int = HOT_ROWS
 ) -> None:
@@ -172,6 +181,6 @@ def build_marts(
         hot = hot_orders(raw, hot_rows)
     # the dimension needs the written fact before anybody else may see it
     draft = warehouse.draft()
-    fact = draft.replace(FACT, staged_fact(raw, hot))
-    draft.replace(DIM_SELLER, dim_seller(fact))
+    fact = draft.replace(FACT, staged_fact(raw, hot), observe=_span("order_id"))
+    draft.replace(DIM_SELLER, dim_seller(fact), observe=_span("seller_id"))
     warehouse.commit_all(draft.staged)

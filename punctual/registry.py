@@ -444,6 +444,24 @@ def layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout_bench.surviving_rows(built(spark, sf_dir), PARAMS)
 
 
+def view_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout_bench.view_pruning(
+        built(spark, sf_dir), fixture.states(spark, sf_dir), PARAMS
+    )
+
+
+def planned_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout_bench.planned_scans(built(spark, sf_dir), PARAMS)
+
+
+def measured_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout_bench.measured_scans(built(spark, sf_dir), PARAMS)
+
+
+def row_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout_bench.row_comparison(measured_scans(spark, sf_dir))
+
+
 def _bench(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return layout_bench.QUERIES[name](built(spark, sf_dir).read(FACT_OPT), PARAMS)
@@ -586,6 +604,10 @@ REGISTRY: dict[str, Query] = {
     "run_tag_extract": run_tag_extract,
     "layout_report": layout_report,
     "layout_rows": layout_rows,
+    "view_pruning": view_pruning,
+    "planned_scans": planned_scans,
+    "measured_scans": measured_scans,
+    "row_comparison": row_comparison,
     "catalog_views": catalog_views,
     "inline_state_orders": inline_state_orders,
     "monthly_trend": _report(_whole_trend),
