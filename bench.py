@@ -12,10 +12,11 @@ import os
 import tempfile
 import time
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from punctual import registry
-from punctual.contracts import DIM_SELLER, FACT, FACT_OPT
+from punctual.contracts import DIM_SELLER, FACT, FACT_OPT, NUMERIC
 from punctual.operators.layout import write_partitioned
 from punctual.plans import bi, gates, layout_bench, marts, reports
 from punctual.session import get_session
@@ -24,7 +25,7 @@ from punctual.sources.warehouse import Warehouse
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-COPIES = int(os.environ.get("BENCH_LAYOUT_COPIES", "200"))
+COPIES = int(os.environ.get("BENCH_LAYOUT_COPIES", "100"))
 
 
 def main() -> None:
@@ -95,10 +96,22 @@ def main() -> None:
         return {row.query: row.asDict() for row in layout_bench.comparison(measured).collect()}
 
     layout = compared(warehouse, "bench")
-    # a month of the test tables is a file of some KB; the layout is for files of some MB
+    # a month of the test tables is a file of some KB; the layout is for files of some MB,
+    # of orders that differ: equal ones would be folded away by dictionaries
     large = Warehouse(spark, registry.folder(spark, SF_DIR, "bench-large"))
-    copies = fact.crossJoin(spark.range(COPIES)).withColumn(
-        "order_id", F.col("order_id") * COPIES + F.col("id")
+
+    def drawn(seed: int, values: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), "order_id", "id"), F.lit(values))
+
+    copies = fact.repartition(16).crossJoin(spark.range(COPIES)).withColumns(
+        {
+            "order_id": F.col("order_id") * COPIES + F.col("id"),
+            "seller_id": F.col("seller_id") * 7 + drawn(1, 7),
+            "order_value": (drawn(2, 10_000_000) / 100).cast(NUMERIC),
+            "freight_value": (drawn(3, 10_000) / 100).cast(NUMERIC),
+            "late_days": drawn(4, 40) - 20,
+            "delivery_days": drawn(5, 60),
+        }
     )
     large.replace(FACT, copies.drop("id"))
     write_partitioned(large)

@@ -16,7 +16,6 @@ FILE_BYTES = 128 * 1024 * 1024
 # their ids, as large as they need, lets a row group without one seller be skipped.
 CLUSTER_OPTIONS = {
     "parquet.block.size": str(16 * 1024 * 1024),
-    "parquet.page.row.count.limit": "5000",
     "parquet.bloom.filter.enabled#seller_id": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
 }
