@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 import re
 
 import pytest
@@ -10,7 +11,7 @@ from frames import fact
 from pyspark.sql import functions as F
 
 from punctual import registry
-from punctual.contracts import CLUSTER_KEYS, FACT, FACT_COLUMNS, FACT_OPT
+from punctual.contracts import CLUSTER_KEYS, DIM_SELLER, FACT, FACT_COLUMNS, FACT_OPT
 from punctual.operators.layout import write_partitioned
 from punctual.operators.rollup import (
     items_per_order,
@@ -285,3 +286,103 @@ def test_copy_keeps_rows_without_a_month_and_odd_text(spark, small_warehouse):
     small_warehouse.replace(FACT, table)
     opt = write_partitioned(small_warehouse)
     assert opt.exceptAll(table).isEmpty() and table.exceptAll(opt).isEmpty()
+
+
+# -- scans, differences and distinct counts ----------------------------------------------
+
+
+def test_provenance_agrees_with_the_plan_of_files(warehouse):
+    planned = layout_bench.planned(warehouse, registry.PARAMS).collect()
+    seen = {(r.query, r.layout): r for r in layout_bench.provenance(warehouse, registry.PARAMS).collect()}
+    for row in planned:
+        mine = seen[row.query, row.layout]
+        assert (mine.files, mine.bytes) == (row.planned_files, row.planned_bytes)
+
+
+def test_opened_files_name_their_months_and_rows(warehouse):
+    opt = layout_bench.traced(warehouse.read(FACT_OPT))
+    files = layout_bench.opened_files(opt.where(F.col("order_month").between(199801, 199803))).collect()
+    assert sorted(month for f in files for month in f.months) == [199801, 199802, 199803]
+    assert all(f"order_month={f.months[0]}" in f.path and f.blocks == 1 for f in files)
+    assert sum(f.rows for f in files) == opt.where("order_month between 199801 and 199803").count()
+    plain = layout_bench.opened_months(layout_bench.traced(warehouse.read(FACT))).collect()
+    assert len(plain) > 3 and not any(r.alone for r in plain)
+
+
+def test_scans_are_counted_where_they_ran(warehouse):
+    opt = warehouse.read(FACT_OPT)
+    one = opt.where("order_month = 199801").groupBy("seller_state").count()
+    assert layout_bench.scan_metrics(one)["rows"] == 0  # not yet run
+    n = sum(r["count"] for r in one.collect())
+    assert layout_bench.scan_metrics(one) == {"files": 1, "partitions": 1, "rows": n}
+    joined = opt.join(warehouse.read(DIM_SELLER), "seller_id").agg(F.count(F.lit(1)).alias("n"))
+    joined.collect()
+    read = layout_bench.scan_metrics(joined)
+    assert read["rows"] == opt.count() + warehouse.read(DIM_SELLER).count()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_difference_equals_the_set_operation(spark, seed):
+    rng = random.Random(seed)
+
+    def table():
+        rows = [
+            (rng.choice([None, 1, 2]), rng.choice([None, "a", ""]), rng.choice([None, 0.5, float("nan")]))
+            for _ in range(rng.choice([0, 30, 200]))
+        ]
+        return spark.createDataFrame(rows, "i int, s string, d double")
+
+    left, right = table(), table()
+    row = gates.difference(left, right.select("d", "s", "i")).first()
+    assert row.only_left == left.exceptAll(right).count()
+    assert row.only_right == right.exceptAll(left).count()
+
+
+def test_difference_of_other_columns_is_an_error(spark):
+    with pytest.raises(ValueError, match="other columns"):
+        gates.difference(spark.range(1), spark.range(1).withColumnRenamed("id", "i"))
+
+
+def test_difference_shuffles_a_hash_of_each_row_once(warehouse):
+    text = plan(gates.difference(warehouse.read(FACT), warehouse.read(FACT_OPT)))
+    assert text.count("Exchange hashpartitioning") == 1
+    moved = re.search(r"Exchange hashpartitioning\((.*?), \d+\)", text).group(1)
+    assert re.sub(r"#\d+L?", "", moved) == "a, b"
+    assert "partial_sum(sign" in text and "Join" not in text
+
+
+@pytest.mark.parametrize(
+    "keys", [[], [None], [5], [5, 5, None], [-40_000, -1, 0, 1, 32_767, 32_768, 99_999], list(range(70_000))]
+)
+def test_bitmaps_count_distinct_integers(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys * 2], "k bigint").repartition(5)
+    assert gates._distinct(df, "k", dense=True).first()["keys"] == len(set(keys) - {None})
+
+
+def test_dense_keys_do_not_move(spark, sf_dir, warehouse):
+    assert gates.is_dense(warehouse.stats(FACT)) and gates.is_dense(warehouse.stats(DIM_SELLER))
+    text = plan(gates.warehouse_mart_checks(warehouse))
+    assert text.count("bitmap_construct_agg") >= 2 and "distinct order_id" not in text
+    for key in ("order_id", "seller_id"):
+        assert not re.search(rf"Exchange hashpartitioning\({key}#\d+L?, \d+\), ENSURE_REQUIREMENTS, \[plan_id=\d+\]\n\s*\+- \*?\(?\d*\)? ?HashAggregate\(keys=\[{key}#\d+L?\], functions=\[\]", text)
+    rows = {r.check_name: r.bad_rows for r in gates.warehouse_mart_checks(warehouse).collect()}
+    exact = gates.mart_checks(warehouse.read(FACT), warehouse.read(DIM_SELLER)).collect()
+    assert rows == {r.check_name: r.bad_rows for r in exact}
+
+
+def test_sparse_and_text_keys_are_counted_as_before():
+    assert gates.is_dense({"rows": 10, "low": 1, "high": 600})
+    assert not gates.is_dense({"rows": 10, "low": 1, "high": 10_000_000})
+    assert not gates.is_dense({"rows": 10, "low": "a", "high": "b"})
+    assert not gates.is_dense({}) and not gates.is_dense({"rows": 0, "low": None, "high": None})
+
+
+def test_the_copy_has_small_row_groups(warehouse):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    folder = warehouse.path(FACT_OPT).removeprefix("file:").removeprefix("//")
+    for path in glob.glob(f"{folder}/*/*.parquet")[:3]:
+        meta = pq.ParquetFile(path).metadata
+        assert all(meta.row_group(i).total_byte_size <= 17 << 20 for i in range(meta.num_row_groups))
