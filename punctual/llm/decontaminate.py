@@ -36,21 +36,21 @@ def words(text: bytes | None) -> list[bytes]:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A positional inverted index of ``docs``, stored in the shared scratch folder.
 
-    One row per segment, i.e. a run of about 1 MiB of text: the ids of its documents, where
-    each begins, its terms, and for each term the rising list of its positions. Positions
-    count words through the segment; one is left free between documents, so no phrase runs
-    from one into the next. Every document is in exactly one segment, whole.
+    Text is cut into segments, runs of documents of about 1 MiB, each document whole. A
+    posting is a row: a term, a segment, and the rising positions of the term in it.
+    Positions count words through the segment; one is left free between documents, so no
+    phrase runs from one into the next. Rows lie in the order of their terms, so Parquet
+    skips what a search doesn't ask for. One more row per segment, without a term, has the
+    ids and the lengths of its documents.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
-    schema = (
-        f"segment string, ids array<{kind}>, n_words binary, terms binary, counts binary, "
-        "positions binary"
-    )
-    return cut(slim.mapInArrow(_segments, schema), "index")
+    schema = f"segment bigint, term binary, positions binary, ids array<{kind}>, n_words array<int>"
+    return cut(slim.mapInArrow(_postings, schema).sortWithinPartitions("term"), "index")
 
 
-def _segments(batches: Iterator[pa.RecordBatch]):
+def _postings(batches: Iterator[pa.RecordBatch]):
+    names = ["segment", "term", "positions", "ids", "n_words"]
     for batch in batches:
         sizes = [len(t or b"") for t in utf8(batch.column(1))]
         for part in slices(batch, sizes, SEGMENT_BYTES):
@@ -61,31 +61,39 @@ def _segments(batches: Iterator[pa.RecordBatch]):
             ids = np.fromiter(map(terms.__getitem__, flat), np.int32, len(flat))
             at = np.arange(len(flat), dtype=np.int32)
             at += np.repeat(np.arange(len(lists), dtype=np.int32), n_words)
-            order = np.argsort(ids, kind="stable")
-            gaps = np.diff(at[order], prepend=np.int32(0)).astype(np.int32)
-            row = [uuid.uuid4().hex, n_words, b" ".join(terms), np.bincount(ids, minlength=len(terms)).astype(np.int32), gaps]
-            ids_of = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
-            blobs = [x if isinstance(x, (bytes, str)) else x.tobytes() for x in row]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([blobs[0]]), ids_of, *(pa.array([b], pa.binary()) for b in blobs[1:])],
-                ["segment", "ids", "n_words", "terms", "counts", "positions"],
+            at = at[np.argsort(ids, kind="stable")]
+            ends = 4 * np.cumsum(np.bincount(ids, minlength=len(terms)))
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            places = pa.Array.from_buffers(
+                pa.binary(), len(terms), [None, pa.py_buffer(offsets), pa.py_buffer(at)]
             )
+            whole = [pa.array([0, len(lists)], pa.int32())]
+            segment = uuid.uuid4().int >> 65
+            columns = [
+                pa.array([None, *terms], pa.binary()),
+                pa.concat_arrays([pa.array([n_words.tobytes()], pa.binary()), places]),
+            ]
+            for values in (part.column(0), pa.array(n_words)):
+                one = pa.ListArray.from_arrays(*whole, values)
+                columns.append(pa.concat_arrays([one, pa.nulls(len(terms), one.type)]))
+            number = pa.array(np.full(len(terms) + 1, segment, np.int64))
+            yield pa.RecordBatch.from_arrays([number, *columns], names)
 
 
 class Postings:
-    """A segment's lists, by query term."""
+    """A segment's lists of the query's terms, by their numbers in the query."""
 
-    def __init__(self, n_words: bytes, terms: bytes, counts: bytes, positions: bytes, query: list[bytes]):
+    def __init__(self, n_words: bytes, numbers: np.ndarray, positions: pa.Array, terms: int):
         self.n_words = np.frombuffer(n_words, np.int32)
         # where each document begins, with the free position before the next
         self.starts = np.concatenate([[0], np.cumsum(self.n_words + 1)])[:-1]
-        here = {t: i for i, t in enumerate(terms.split())}
-        each = np.frombuffer(counts, np.int32).astype(np.int64)
-        ends = np.cumsum(each)
-        self.at = np.cumsum(np.frombuffer(positions, np.int32), dtype=np.int64)
-        found = np.fromiter((here.get(t, -1) for t in query), np.int64, len(query))
-        self.counts = np.where(found >= 0, each[found] if len(each) else 0, 0).astype(np.int64)
-        self.hi = np.where(found >= 0, ends[found] if len(each) else 0, 0)
+        lists = positions.to_pylist()
+        self.at = np.frombuffer(b"".join(lists), np.int32).astype(np.int64)
+        each = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        self.counts = np.zeros(terms, np.int64)
+        self.hi = np.zeros(terms, np.int64)
+        self.counts[numbers] = each
+        self.hi[numbers] = np.cumsum(each)
 
     def list(self, term: int) -> np.ndarray:
         return self.at[self.hi[term] - self.counts[term] : self.hi[term]]
@@ -189,88 +197,134 @@ def search(
     item. With it, a span is a place where all words of such a window lie, in any order,
     within so many words of an occurrence of the rarest. Overlapping spans are merged.
 
-    Items are the stated query set: they are sent to all segments in blocks of bounded
-    size, however many blocks that takes. An item without words matches nothing; a null
+    Items are the stated query set, taken in blocks of bounded size. Of the index only the
+    lists of a block's terms are read on; a segment's lists meet in one task, from the
+    rarest term of each window on. An item without words matches nothing; a null
     item id is named ``null``; rows of one item id are one item.
     """
     spark = index.sparkSession
-    kind = index.schema["ids"].dataType.elementType.simpleString()
-    schema = (
-        f"segment string, at int, id {kind}, n_words bigint, "
-        "spans array<struct<start:int,end:int>>, items array<string>"
-    )
+    schema = "segment bigint, at int, spans array<struct<start:int,end:int>>, items array<string>"
     found = []
     for block in _item_blocks(items, item_col, text_col):
-        sent = spark.sparkContext.broadcast(phrases(block, window))
-        found.append(index.mapInArrow(partial(_search, sent=sent, within=within), schema))
+        query = phrases(block, window)
+        sent = spark.sparkContext.broadcast(query)
+        lists = _asked(index, query.terms)
+        found.append(lists.mapInArrow(partial(_search, sent=sent, within=within), schema))
+    hits = reduce(DataFrame.unionByName, found)
     if len(found) > 1:
-        union = reduce(DataFrame.unionByName, found)
-        merged = union.groupBy("segment", "at").agg(
-            F.first("id").alias("id"),
-            F.first("n_words").alias("n_words"),
+        hits = hits.groupBy("segment", "at").agg(
             F.flatten(F.collect_list("spans")).alias("spans"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        )
-    else:
-        merged = found[0]
-    return merged.select("id", "n_words", _merged("spans"), F.array_sort("items").alias("items"))
+        ).mapInArrow(_blocks_joined, schema)
+    docs = index.where("term IS NULL").select(
+        "segment", F.posexplode(F.arrays_zip("ids", "n_words")).alias("at", "doc")
+    )
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
+    return docs.join(hits, ["segment", "at"], "left").select(
+        F.col("doc.ids").alias("id"),
+        F.col("doc.n_words").cast("bigint").alias("n_words"),
+        spans.alias("spans"),
+        F.array_sort(F.coalesce("items", F.array().cast("array<string>"))).alias("items"),
+    )
+
+
+def _asked(index: DataFrame, terms: list[bytes]) -> DataFrame:
+    """The lists of ``terms`` as (segment, number, positions), a segment's together.
+
+    Terms are those of one block of items, which bounds what is broadcast. The lengths of
+    the segment's documents come first, as number -1.
+    """
+    spark = index.sparkSession
+    table = pa.table(
+        {"term": pa.array(terms, pa.binary()), "number": pa.array(range(len(terms)), pa.int32())}
+    )
+    query = F.broadcast(spark.createDataFrame(table))
+    lists = index.where("term IS NOT NULL").join(query, "term").select("segment", "number", "positions")
+    lengths = index.where("term IS NULL").select(
+        "segment", F.lit(-1).cast("int").alias("number"), "positions"
+    )
+    return (
+        lists.unionByName(lengths).repartition("segment").sortWithinPartitions("segment", "number")
+    )
 
 
-def _merged(spans: str):
-    """Sorted spans without overlaps."""
-    return F.expr(
-        f"""aggregate(array_sort({spans}), cast(array() as array<struct<start:int,end:int>>),
-          (done, s) -> CASE
-            WHEN size(done) > 0 AND s.start <= done[size(done) - 1].end
-            THEN concat(slice(done, 1, size(done) - 1), array(named_struct(
-              'start', done[size(done) - 1].start,
-              'end', greatest(done[size(done) - 1].end, s.end))))
-            ELSE concat(done, array(s)) END)"""
-    ).alias(spans)
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each segment, which lie together."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        key = batch.column(0).to_numpy()
+        bounds = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+            if begin == end:
+                continue
+            if waiting and waiting[-1].column(0)[-1].as_py() != key[begin]:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            waiting.append(batch.slice(begin, end - begin))
+    if waiting:
+        yield pa.Table.from_batches(waiting)
 
 
 def _search(batches: Iterator[pa.RecordBatch], sent, within: int | None):
     query = sent.value
     live = query.windows >= 0
-    for batch in batches:
-        for i in range(batch.num_rows):
-            name, ids, *blobs = (batch.column(c).slice(i, 1) for c in range(6))
-            post = Postings(*(b[0].as_py() for b in blobs), query.terms)
-            n = len(post.n_words)
-            spans, owners = [], []
-            if len(query.terms):
-                fewest = np.where(live, post.counts[query.windows], np.int64(1) << 40).min(axis=1)
-                for w in np.flatnonzero(fewest):
-                    terms = query.windows[w][live[w]]
-                    if within is None:
-                        first = post.phrase(terms)
-                        last = first + len(terms)
-                    else:
-                        first, last = post.near(np.unique(terms), within)
-                    if len(first):
-                        doc = post.doc(first)
-                        spans.append(np.stack([doc, first - post.starts[doc], last - post.starts[doc]]))
-                        docs = np.unique(doc)
-                        owners += [np.stack([docs, np.full_like(docs, o)]) for o in query.owners[w]]
-            spans = _joined(_distinct(spans, 3))
-            owners = _distinct(owners, 2)
-            pairs = pa.StructArray.from_arrays(
-                [pa.array(x.astype(np.int32)) for x in spans[1:]], ["start", "end"]
-            )
+    for rows in _segments(batches):
+        numbers, positions = rows["number"].to_numpy(), rows["positions"].combine_chunks()
+        post = Postings(positions[0].as_py(), numbers[1:], positions[1:], len(query.terms))
+        spans, owners = [], []
+        if len(numbers) > 1:
+            fewest = np.where(live, post.counts[query.windows], np.int64(1) << 40).min(axis=1)
+            for w in np.flatnonzero(fewest):
+                terms = query.windows[w][live[w]]
+                if within is None:
+                    first = post.phrase(terms)
+                    last = first + len(terms)
+                else:
+                    first, last = post.near(np.unique(terms), within)
+                if len(first):
+                    doc = post.doc(first)
+                    spans.append(np.stack([doc, first - post.starts[doc], last - post.starts[doc]]))
+                    docs = np.unique(doc)
+                    owners += [np.stack([docs, np.full_like(docs, o)]) for o in query.owners[w]]
+        if spans:
+            spans, owners = _joined(_distinct(spans, 3)), _distinct(owners, 2)
+            docs = np.unique(spans[0])
             names = pa.array(query.names, pa.string()).take(pa.array(owners[1]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name[0].as_py()] * n, pa.string()),
-                    pa.array(np.arange(n, dtype=np.int32)),
-                    ids.flatten(),
-                    pa.array(post.n_words.astype(np.int64)),
-                    pa.ListArray.from_arrays(_bounds(spans[0], n), pairs),
-                    pa.ListArray.from_arrays(_bounds(owners[0], n), names),
-                ],
-                ["segment", "at", "id", "n_words", "spans", "items"],
+            yield _hit(
+                pa.array(np.full(len(docs), rows["segment"][0].as_py(), np.int64)),
+                pa.array(docs.astype(np.int32)),
+                _lists(spans, docs),
+                pa.ListArray.from_arrays(_bounds(owners[0], docs), names),
             )
 
 
+def _hit(segment: pa.Array, at: pa.Array, spans: pa.Array, items: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([segment, at, spans, items], ["segment", "at", "spans", "items"])
+
+
+def _lists(spans: np.ndarray, docs: np.ndarray) -> pa.Array:
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(x.astype(np.int32)) for x in spans[1:]], ["start", "end"]
+    )
+    return pa.ListArray.from_arrays(_bounds(spans[0], docs), pairs)
+
+
+def _blocks_joined(batches: Iterator[pa.RecordBatch]):
+    """Spans that several blocks of items found in a document, without overlaps."""
+    for batch in batches:
+        lists = batch.column("spans")
+        each = np.diff(lists.offsets.to_numpy())
+        start, end = (x.to_numpy() for x in lists.flatten().flatten())
+        row = np.repeat(np.arange(batch.num_rows), each)
+        spans = _joined(_distinct([np.stack([row, start, end]).astype(np.int64)], 3))
+        yield _hit(
+            batch.column("segment"),
+            batch.column("at"),
+            _lists(spans, np.arange(batch.num_rows)),
+            batch.column("items"),
+        )
+
+
 def _distinct(parts: list[np.ndarray], width: int) -> np.ndarray:
     both = np.concatenate(parts, axis=1) if parts else np.zeros((width, 0), np.int64)
     return np.unique(both, axis=1)
@@ -289,8 +343,10 @@ def _joined(spans: np.ndarray) -> np.ndarray:
     return np.stack([doc[at], start[at], np.maximum.reduceat(end, at)])
 
 
-def _bounds(sorted_docs: np.ndarray, n: int) -> pa.Array:
-    return pa.array(np.searchsorted(sorted_docs, np.arange(n + 1)).astype(np.int32))
+def _bounds(sorted_docs: np.ndarray, docs: np.ndarray) -> pa.Array:
+    """Where each of ``docs`` begins in a sorted list that has no other."""
+    ends = np.append(np.searchsorted(sorted_docs, docs), len(sorted_docs))
+    return pa.array(ends.astype(np.int32))
 
 
 def contamination(

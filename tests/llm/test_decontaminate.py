@@ -105,3 +105,34 @@ def test_query_on_a_table(spark, sf_dir):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     wanted = set(brute(rows, [tuple(r) for r in items.select("item_id", "text").collect()]))
     assert got == wanted and any(r[2] for r in wanted)
+
+
+@pytest.mark.parametrize("block", [8 << 20, 2_000])
+def test_many_spans_in_one_text(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    items = [(i, " ".join(f"p{i}x{k}" for k in range(13))) for i in range(40)]
+    text = " gap ".join(items[i % 40][1] for i in range(100_000))
+    docs = frame(spark, [(1, text), (2, text[:1000]), (3, None)], "doc_id")
+    row = decontaminate.contamination(docs, frame(spark, items, "item_id")).where("doc_id = 1").first()
+    assert len(row.spans) == 100_000 and row.n_hit == 1_300_000 and len(row["items"]) == 40
+    assert [(s.start, s.end) for s in row.spans[:2]] == [(0, 13), (14, 27)]
+
+
+def test_overlaps_across_blocks_count_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)
+    words = [f"t{i}" for i in range(40)]
+    items = [(i, " ".join(words[i : i + 13])) for i in range(20)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[5:20]) + " x " + " ".join(words[2:15])), (3, "x")]
+    got = decontaminate.op6_decontaminate(frame(spark, docs, "doc_id"), frame(spark, items, "item_id"))
+    assert sorted(map(tuple, got.collect())) == sorted(brute(docs, items))
+
+
+def test_a_search_reads_the_lists_it_asks_for(spark):
+    index = decontaminate.build_index(frame(spark, DOCS, "doc_id"))
+    terms = {bytes(r.term) for r in index.where("term IS NOT NULL").select("term").collect()}
+    assert {b"t5", b"pad", "é".encode()} <= terms
+    asked = decontaminate._asked(index, [b"pad", b"absent", b"short"])
+    found = [(r.number, len(r.positions) // 4) for r in asked.collect() if r.number >= 0]
+    assert {n for n, _ in found} == {0, 2} and sum(c for n, c in found if n == 0) == 200
+    lists = asked._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(term)]" in lists and "BroadcastHashJoin" in lists
