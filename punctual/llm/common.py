@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,9 +45,10 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 def forget(df: DataFrame) -> None:
     """Delete the files of a table that ``cut`` wrote and nothing reads any more."""
     spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if file.startswith(scratch_dir(spark)) or "/punctual-" in file:
-            files.delete(spark, file)
+    scratch = urlsplit(scratch_dir(spark)).path + "/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if urlsplit(folder).path.startswith(scratch):
+            files.delete(spark, folder)
 
 
 def extended(schema: StructType, added: str) -> StructType:
