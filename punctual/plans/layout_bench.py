@@ -141,6 +141,7 @@ def measured_work(jobs: DataFrame, run_id: str) -> DataFrame:
         .groupBy(_property(QUERY).alias("query"), _property(LAYOUT).alias("layout"))
         .agg(
             F.sum("total_bytes_processed").alias("read_bytes"),
+            F.sum("total_records_read").alias("read_rows"),
             F.sum("total_task_ms").alias("task_ms"),
         )
     )
@@ -171,20 +172,22 @@ def _logged(spark: SparkSession, run_id: str, seconds: float = 30) -> DataFrame
 def measure(warehouse: Warehouse, p: Params, run_id: str) -> DataFrame:
     """Planned and real bytes per query and layout.
 
-    Real bytes are those the tasks read, from the event log. Where the session logs no
+    Real bytes and rows are those the tasks read, from the event log. Where the session logs no
     events nothing was measured, and ``real_bytes`` is NULL.
     """
     runs = run(warehouse, p, run_id)
     jobs = _logged(warehouse.spark, run_id)
     if jobs is None:
         unknown = F.lit(None).cast("bigint")
-        real = runs.withColumns({"read_bytes": unknown, "task_ms": unknown})
+        real = runs.withColumns(
+            {"read_bytes": unknown, "read_rows": unknown, "task_ms": unknown}
+        )
     else:
         real = runs.join(measured_work(jobs, run_id), ["query", "layout"], "left")
     return (
         planned(warehouse, p)
         .join(real, ["query", "layout"], "left")
-        .withColumnRenamed("read_bytes", "real_bytes")
+        .withColumnsRenamed({"read_bytes": "real_bytes", "read_rows": "real_rows"})
     )
 
 
@@ -397,6 +400,7 @@ def comparison(measured: DataFrame) -> DataFrame:
             F.first("planned_files").alias("files"),
             F.first("planned_bytes").alias("planned_bytes"),
             F.first("real_bytes").alias("real_bytes"),
+            F.first("real_rows").alias("real_rows"),
         )
     )
     return sides.withColumns(

@@ -18,7 +18,7 @@ _EVENTS = """
     `Submission Time` bigint, `Completion Time` bigint,
     `Properties` map<string,string>, `Job Result` struct<`Result`: string>,
     `Task Metrics` struct<`Executor Run Time`: bigint,
-                          `Input Metrics`: struct<`Bytes Read`: bigint>>
+                          `Input Metrics`: struct<`Bytes Read`: bigint, `Records Read`: bigint>>
 """
 
 
@@ -66,6 +66,7 @@ def job_history(spark: SparkSession, path: str) -> DataFrame:
         .groupBy(F.col("Stage ID").alias("stage_id"))
         .agg(
             F.sum("Task Metrics.Input Metrics.Bytes Read").alias("bytes"),
+            F.sum("Task Metrics.Input Metrics.Records Read").alias("records"),
             F.sum("Task Metrics.Executor Run Time").alias("task_ms"),
         )
     )
@@ -78,6 +79,7 @@ def job_history(spark: SparkSession, path: str) -> DataFrame:
         .groupBy("job_id")
         .agg(
             F.sum("bytes").alias("total_bytes_processed"),
+            F.sum("records").alias("total_records_read"),
             F.sum("task_ms").alias("total_task_ms"),
         )
     )
@@ -92,6 +94,7 @@ def job_history(spark: SparkSession, path: str) -> DataFrame:
             "description",
             "properties",
             F.coalesce("total_bytes_processed", F.lit(0)).alias("total_bytes_processed"),
+            F.coalesce("total_records_read", F.lit(0)).alias("total_records_read"),
             F.coalesce("total_task_ms", F.lit(0)).alias("total_task_ms"),
         )
     )

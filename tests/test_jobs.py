@@ -244,6 +244,12 @@ def test_real_bytes_come_from_the_event_log(spark, sf_dir):
     measured = layout_bench.measure(warehouse, registry.PARAMS, "bench7").collect()
     assert len(measured) == 6
     assert all(row.real_bytes > 0 for row in measured)
+    # what tasks say that they read is what the scans of the same queries counted
+    rows = {(r.query, r.layout): r.real_rows for r in measured}
+    scans = layout_bench.scanned(warehouse, registry.PARAMS).collect()
+    assert {(r.query, r.layout): r.read_rows for r in scans} == rows
+    kept = layout_bench.surviving_rows(warehouse, registry.PARAMS).collect()
+    assert all(0 < rows[r.query, r.layout] <= r.rows for r in kept)
     assert all(row.planned_files > 0 and row.seconds > 0 for row in measured)
 
 
