@@ -53,7 +53,9 @@ def dedup_lines(
     # a text shorter than a key holds none
     lines = (
         docs.where(F.char_length(text) >= min_chars)
-        .select(doc.alias("__id"), *row, F.posexplode(F.split(text, "\n", -1)).alias("__at", "__line"))
+        # hashed before the lines are apart, or each line would hash its whole text again
+        .select(doc.alias("__id"), *row, text.alias("__text"))
+        .select("__id", "__r1", "__r2", F.posexplode(F.split("__text", "\n", -1)).alias("__at", "__line"))
         .where(F.octet_length("__line") >= min_chars)
         .withColumn("__key", line_key(F.col("__line")))
         .where(F.char_length("__key") >= min_chars)
@@ -80,7 +82,9 @@ def dedup_lines(
         .agg(F.collect_set("__at").alias("__drop"))
     )
     split = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    kept = F.expr("filter(__lines, (line, i) -> NOT array_contains(__drop, i))")
+    # by a hash of positions: to look each line up in the list takes the square of it
+    places = "array_except(sequence(0, size(__lines) - 1), __drop)"
+    kept = F.expr(f"transform({places}, i -> __lines[i])")
     touched = F.col("__drop").isNotNull()
     return (
         docs.select("*", *row)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -62,3 +63,13 @@ def test_limits_and_clashing_columns(spark):
     assert sorted(map(tuple, got), key=repr) == brute(rows, 5, 2)
     assert done.where("doc_id = 100").first().text is None
     assert line_dedup.op5_line_dedup(df.where("false")).collect() == []
+
+
+def test_texts_of_very_many_shared_lines(spark):
+    lines = [f"line {i} is the same in all of these long documents" for i in range(60_000)]
+    rows = [(doc, "\n".join([*lines, f"own line {doc}"])) for doc in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    begin = time.perf_counter()
+    got = sorted(map(tuple, line_dedup.op5_line_dedup(df).collect()))
+    assert time.perf_counter() - begin < 30  # 64 s when each line was looked up in a list
+    assert got == brute(rows)
