@@ -25,17 +25,22 @@ LANES = 512
 SLICE_BYTES = 8 << 20
 UNKNOWN = "und"
 
-# in Spark, what _letter finds, and what letters() makes a blank
-LETTER, OTHERS = r"[\p{L}\p{Nl}\p{No}]", r"[\x00-\x60\x7b-\x7f]+"
+# in Spark, what has_letter() finds, and what letters() makes a blank
+LETTER, OTHERS = r"\p{L}", r"[\x00-\x60\x7b-\x7f]+"
 LEVELS = 8  # of the hash of pieces from one to its half
 
-_letter = re.compile(r"[^\W\d_]")
+_maybe = re.compile(r"[^\W\d_]")  # letters, and numerals such as ½ and Ⅷ
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of ``text`` is of one of Unicode's categories of letters."""
+    return any(m[0].isalpha() for m in _maybe.finditer(text))
 
 
 def letters(text: bytes | None) -> np.ndarray | None:
     """Lower-case UTF-8 bytes with each run of other ASCII as one blank; None without a letter."""
     plain = (text or b"").decode(errors="replace")
-    if not _letter.search(plain):
+    if not has_letter(plain):
         return None
     raw = np.frombuffer(plain.lower().encode(errors="replace"), np.uint8)
     raw = np.where((raw >= 97) & (raw <= 122) | (raw >= 128), raw, np.uint8(32))

@@ -72,7 +72,7 @@ def test_learned_sample_is_bounded_and_leaves_out_the_held_out_fold(spark, sf_di
 def test_only_what_can_be_learned_from_is_fetched(spark, monkeypatch):
     rows = [(i, None if i % 3 else "12, 34!", "none") for i in range(3000)]
     rows += [(i, f"{'1' * 500} word{chr(97 + i % 26)} {i}", "en") for i in range(3000, 6000)]
-    rows += [(7000, "½", "half")]
+    rows += [(7000, "ª", "half"), (7001, "½", "numeral")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     fetched, collect = [], type(df).collect
     monkeypatch.setattr(type(df), "collect", lambda self: fetched.append(collect(self)) or fetched[-1])
@@ -120,3 +120,13 @@ def test_edges(spark):
     assert wanted <= got and len(got) == 45
     assert lid.predict(df, {}).where("lang_pred <> 'und'").count() == 0
     assert lid.op8_language_id(df.where("false")).collect() == []
+
+
+def test_numerals_are_no_letters(spark):
+    assert not any(lid.has_letter(x) for x in ("", "½ ²", "Ⅷ 12", "٣ _ 7", "①⑳"))
+    assert all(lid.has_letter(x) for x in ("½x", "Ⅷ é", "ª", "ʰ", "日", "ǅ"))
+    rows = [(i, f"some words of english text number {i} " * 5, "en") for i in range(40)]
+    rows += [(100, "½ ² ⅓", "en"), (101, "Ⅷ Ⅸ", "en"), (102, "½ the words", "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in lid.op8_language_id(docs).collect()}
+    assert [got[i] for i in (100, 101, 102)] == ["und", "und", "en"]
