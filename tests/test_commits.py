@@ -340,7 +340,8 @@ def test_the_load_finds_hot_orders_along_the_way(spark, source, root, monkeypatc
     marts.build_marts(warehouse, hot_rows=100)
     assert warehouse.read(FACT).count() == 40
     assert warehouse.read(FACT).where("order_id = 'o7'").first().item_count == 901
-    assert warehouse.stats(FACT) == {}
+    assert warehouse.stats(FACT) == {"rows": 40, "low": "o0", "high": "o9"}
+    assert warehouse.stats("sellers") == {}
 
 
 def test_without_an_observed_load_a_job_looks(spark, source, root):
