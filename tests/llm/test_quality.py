@@ -1,6 +1,11 @@
+import math
 import random
+import struct
+import zlib
+from collections import Counter
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from punctual.llm import quality
@@ -84,3 +89,100 @@ def test_edges(spark):
     none = quality.op7_quality(docs, labels.where("quality = 1")).collect()
     assert {r.score for r in none} == {0.5}
     assert quality.op7_quality(docs.where("false"), labels).collect() == []
+
+
+M, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def brute_features(text):
+    """N-grams of one text, one at a time in whole numbers."""
+
+    def mix(h):
+        h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 & MASK
+        return h ^ h >> 29
+
+    def number(h):
+        return (mix(h & MASK) * M & MASK) >> 64 - quality.BITS
+
+    raw, hashes = (text or "").encode(), []
+    for word in raw.split():
+        h = len(word)
+        for byte in word[: quality.WORD_BYTES]:
+            h = (h ^ byte) * M & MASK
+            h ^= h >> 32
+        hashes.append(h)
+    marked = [1 if i and h == hashes[i - 1] else h for i, h in enumerate(hashes)]
+    out = {number(h) for h in marked}
+    out |= {((mix(a * 3 + mix(b) & MASK) * M) & MASK) >> 64 - quality.BITS for a, b in zip(marked, marked[1:])}
+    return out | {number(int.from_bytes(raw[i : i + 3], "little") + (1 << 40)) for i in range(len(raw) - 2)}
+
+
+def brute_model(rows, labels):
+    """Ratios, weights, bias and the margin function, learned by plain loops."""
+    train = sorted(
+        (int.from_bytes(xxhash.xxh64_digest(struct.pack("<q", i), 42), "big", signed=True), labels[i], t)
+        for i, t in rows
+        if zlib.crc32(str(i).encode()) % 5
+    )
+    counts = [Counter(), Counter()]
+    for _, label, text in train:
+        counts[label].update(brute_features(text))
+    totals = [sum(c.values()) + (1 << quality.BITS) for c in counts]
+
+    def ratio(f):
+        return math.log((counts[1][f] + 1) / totals[1]) - math.log((counts[0][f] + 1) / totals[0])
+
+    def vector(text):
+        raw = {f: ratio(f) for f in brute_features(text)}
+        norm = math.sqrt(sum(r * r for r in raw.values()))
+        return {f: r / norm for f, r in raw.items()} if norm else {}
+
+    def margin(text):
+        return sum(weights.get(f, 0.0) * v for f, v in vector(text).items()) + bias
+
+    fitted = [(vector(t), 2 * label - 1) for k, (_, label, t) in enumerate(train) if k % quality.CALIBRATION]
+    sizes = Counter(y for _, y in fitted)
+    weights, bias, alpha = {}, 0.0, [0.0] * len(fitted)
+    rng = np.random.default_rng(0)
+    for _ in range(quality.PASSES):
+        moved = 0.0
+        for i in rng.permutation(len(fitted)):
+            x, y = fitted[i]
+            slope = y * (sum(weights.get(f, 0.0) * v for f, v in x.items()) + bias) - 1
+            square = sum(v * v for v in x.values()) + 1
+            new = min(max(alpha[i] - slope / square, 0.0), quality.COST * len(fitted) / (2 * sizes[y]))
+            step, alpha[i] = new - alpha[i], new
+            for f, v in x.items():
+                weights[f] = weights.get(f, 0.0) + step * y * v
+            bias += step * y
+            moved = max(moved, abs(step))
+        if moved < 1e-3:
+            break
+    held = [(margin(t), label) for k, (_, label, t) in enumerate(train) if not k % quality.CALIBRATION]
+    return ratio, margin, held
+
+
+def test_query_matches_brute_force(spark):
+    docs, labels = corpus(spark, 160)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rows += [(900, None), (901, ""), (902, "w1  w1 w1\né " + "x" * 70), (903, "w2 w3 " * 3_000)]
+    docs = spark.createDataFrame(rows, docs.schema)
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    ratio, margin, held = brute_model([r for r in rows if r[0] in marks], marks)
+    model = quality.learn(docs, labels)
+    for f in set().union(*(brute_features(t) for _, t in rows)):
+        assert math.isclose(model.ratio[f], ratio(f), rel_tol=1e-9, abs_tol=1e-12)
+    # the scale makes the smoothed labels of the calibration documents likeliest
+    hits = sum(label for _, label in held)
+    wanted = [(hits + 1) / (hits + 2) if label else 1 / (len(held) - hits + 2) for _, label in held]
+    given = [1 / (1 + math.exp(-model.scale * m - model.shift)) for m, _ in held]
+    errors = [g - w for g, w in zip(given, wanted, strict=True)]
+    assert abs(sum(errors)) < 1e-4
+    assert abs(sum(e * m for e, (m, _) in zip(errors, held, strict=True))) < 1e-4
+    got = {r.doc_id: r for r in quality.op7_quality(docs, labels).collect()}
+    assert len(got) == len(rows)
+    for i, text in rows:
+        score = 1 / (1 + math.exp(-model.scale * margin(text) - model.shift))
+        assert math.isclose(got[i].score, score, rel_tol=1e-6)
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert got[i].predicted == int(got[i].score >= 0.3)
