@@ -131,3 +131,32 @@ def test_query_on_a_table(spark, sf_dir):
     rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
     got = sorted(map(tuple, sd.op10_substring_dedup(docs).collect()))
     assert got == brute(rows) and any(r[2] for r in got)
+
+
+def test_text_longer_than_pieces_with_production_parameters(spark):
+    rng = random.Random(9)
+    noise = lambda k: "".join(rng.choices("abcdefgh ", k=k))
+    passage = noise(3_000)
+    # the second copy lies across the border of the first two pieces
+    parts = [noise(1 << 20), "1", passage, "2", noise((1 << 20) - 4_500), "3", passage, "4", noise(2_500_000), "5", passage, "6"]
+    long = "".join(parts)
+    second = len("".join(parts[:6]))
+    third = len(long) - 3_001
+    assert len(long) > 4 << 20 and second < sd.PIECE_BYTES < second + 3_000
+    rows = [(1, long), (2, "7" + passage + "8"), (3, passage[:99])]
+    got = {r.doc_id: r for r in sd.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    spans = [(second, second + 3_000), (third, third + 3_000)]
+    assert [tuple(s) for s in got[1].spans] == spans
+    assert bytes(got[1].kept).decode() == long[:second] + long[second + 3_000 : third] + "6"
+    assert bytes(got[2].kept) == b"78" and bytes(got[3].kept).decode() == passage[:99]
+
+
+def test_one_phrase_in_all_texts(spark):
+    """A phrase as long as an anchor stands in all texts, each time in another context."""
+    rng = random.Random(2)
+    phrase = "a phrase of 30 bytes is common"
+    noise = lambda k: "".join(rng.choices("abcdefgh ", k=k))
+    rows = [(i, " ".join(noise(150) + phrase for _ in range(6)) + noise(150)) for i in range(150)]
+    rows += [(200 + i, rows[i][1][300:700]) for i in range(20)]
+    got = sd.op10_substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, got.collect())) == brute(rows)
