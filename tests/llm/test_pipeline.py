@@ -122,3 +122,21 @@ def test_repeated_and_rejected_rows(spark, sf_dir):
     twice = spark.createDataFrame(rows[:1] * 3, schema)
     assert corpus_pipeline.drop_near_copies(spark, twice, sf_dir).count() == 1
     assert corpus_pipeline.drop_contaminated(spark, twice, sf_dir).count() == 3
+
+
+def test_a_very_long_text_passes_whole(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    english = docs.where("lang = 'en' AND text IS NOT NULL").orderBy("doc_id").limit(50).collect()
+    words = np.array(" ".join(r.text for r in english).split())
+    rng = np.random.default_rng(6)
+    text = "\n".join(" ".join(rng.choice(words, 12)) for _ in range(25_000))
+    assert len(text) > 1_500_000
+    row = Row(**{**english[0].asDict(), "doc_id": 10**8, "text": text})
+    given = docs.where("doc_id % 10 > 0").unionByName(spark.createDataFrame([row], docs.schema))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        given = spark.createDataFrame(stage(spark, given, sf_dir).collect(), docs.schema)
+        kept = given.where(f"doc_id = {10**8}").collect()
+        assert [r.text for r in kept] == [text] and kept[0].lang == "en"
+    done = corpus_pipeline.STAGES[4][1](spark, given.where(f"doc_id = {10**8}"), sf_dir).collect()
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert [r.ids for r in done] == [library.encode(text, add_special_tokens=False).ids]
