@@ -209,7 +209,9 @@ def encode(
     """``docs`` plus the token ids of the text, as the tokenizer's library gives them
     without added special tokens, truncation and padding.
 
-    ``path`` is the tokenizer file, which is on every executor at the same place. A null or
+    ``path`` is the tokenizer file, which is on every executor at the same place. Files must
+    split and lower-case as ``word_bpe_49k.json`` does (``_ASCII`` states its rules for ASCII
+    text); for other rules, such as bytes with blanks in tokens, the ids are wrong. A null or
     empty text has no ids. Each row is encoded alone, so repeated rows get equal ids. A
     column named like the result is replaced, all other columns are kept.
     """
